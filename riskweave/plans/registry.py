@@ -23,6 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return build(tune(spark), folder)
 
+        run.__name__, run.__module__ = name, build.__module__
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql

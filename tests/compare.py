@@ -1,6 +1,6 @@
 """Run registered queries on Spark and their SQL on DuckDB, and compare the rows.
 
-    python tests/compare.py [folder] [name ...]
+    python tests/compare.py [folder] [name | @module ...]
 """
 
 from __future__ import annotations
@@ -70,7 +70,9 @@ if __name__ == "__main__":
     from riskweave.session import local_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(QUERIES)
+    wanted = sys.argv[2:]
+    modules = {w[1:] for w in wanted if w.startswith("@")}
+    names = [n for n, q in QUERIES.items() if not wanted or n in wanted or q.__module__.split(".")[-1] in modules]
     spark, con = local_session(8), duck(folder)
     failed = 0
     for name in names:
