@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.functions import columns as c
 from riskweave.functions.history import Measure, before, with_blocks
-from riskweave.operators.joins import merchant_risk_asof
+from riskweave.operators.joins import merchant_daily_counts, merchant_risk_asof
 from riskweave.schemas import CROSS_BORDER_REGIONS, FEATURES
 
 # Limits of the feature definitions.
@@ -130,7 +130,7 @@ def transaction_features(
     df: DataFrame,
     ts: str = "ts",
     cross_border: Iterable[str] = CROSS_BORDER_REGIONS,
-    merchant_history: DataFrame | None = None,
+    merchant_daily: DataFrame | None = None,
     keep: Iterable[str] = (),
     **sizes: int,
 ) -> DataFrame:
@@ -144,9 +144,8 @@ def transaction_features(
     ]
     wanted = [ID, "user_id", ts, "amount", "channel", "merchant", "region", "latitude", "longitude", "device_id", "is_fraud"]
     columns = list(dict.fromkeys([*wanted, *keep]))
-    scored = merchant_risk_asof(
-        _history(df.select(*columns), measures, ts, **sizes), ts, history=df if merchant_history is None else merchant_history
-    )
+    daily = merchant_daily_counts(df, ts) if merchant_daily is None else merchant_daily
+    scored = merchant_risk_asof(_history(df.select(*columns), measures, ts, **sizes), ts, daily=daily)
     features: dict[str, Column] = {
         "transaction_amount": F.col("amount"),
         "velocity_1h": F.col("_velocity"),

@@ -34,29 +34,31 @@ def merchant_score_lookup(df: DataFrame, scores: DataFrame, default: float = 0.5
     ).drop("_score")
 
 
-def merchant_daily_rates(df: DataFrame, ts: str = "ts") -> DataFrame:
+def merchant_daily_counts(df: DataFrame, ts: str = "ts") -> DataFrame:
+    return df.groupBy("merchant", F.to_date(ts).alias("day")).agg(
+        F.count("*").alias("n"), F.count_if("is_fraud").alias("fraud")
+    )
+
+
+def merchant_daily_rates(daily: DataFrame) -> DataFrame:
     """(merchant, day, fraud rate of all earlier days), one row per merchant and active day.
 
-    Rows are counted per merchant and day first, so the window sees days, not transactions.
+    The window sees days, not transactions, so a merchant with very many rows costs no more.
     """
-    daily = df.groupBy("merchant", F.to_date(ts).alias("day")).agg(
-        F.count("*").alias("n"), F.count_if("is_fraud").alias("fraud")
-    )
     past = Window.partitionBy("merchant").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     return daily.select(
         "merchant", "day", F.try_divide(F.sum("fraud").over(past), F.sum("n").over(past)).alias("score")
     )
 
 
-def merchant_risk_asof(df: DataFrame, ts: str = "ts", default: float = 0.5, history: DataFrame | None = None) -> DataFrame:
+def merchant_risk_asof(df: DataFrame, ts: str = "ts", default: float = 0.5, daily: DataFrame | None = None) -> DataFrame:
     """Fraud rate the merchant had before the transaction's day; `default` on its first day.
 
-    `history` holds the rows the rates come from when that is more than `df` itself.
+    `daily` holds the counts the rates come from when they cover more than `df` itself.
     """
-    rates = merchant_daily_rates(df if history is None else history, ts).withColumnRenamed("score", "_score")
-    return df.withColumn("day", F.to_date(ts)).join(rates, ["merchant", "day"], "left").withColumn(
-        "merchant_risk_score", F.coalesce("_score", F.lit(default))
-    ).drop("day", "_score")
+    rates = merchant_daily_rates(merchant_daily_counts(df, ts) if daily is None else daily)
+    scored = df.withColumn("day", F.to_date(ts)).join(rates, ["merchant", "day"], "left")
+    return scored.withColumn("merchant_risk_score", F.coalesce("score", F.lit(default))).drop("day", "score")
 
 
 def hourly_rate_aligned(df: DataFrame, ts: str = "ts") -> DataFrame:

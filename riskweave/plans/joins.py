@@ -56,7 +56,7 @@ def _(spark, d):
 
 @query("merchant_risk_asof", txn(f"""WITH {MERCHANT_SQL} SELECT merchant, strftime(day, '%Y-%m-%d') AS day, round(score, 8) AS score FROM mr"""))
 def _(spark, d):
-    rates = j.merchant_daily_rates(lean(spark, d))
+    rates = j.merchant_daily_rates(j.merchant_daily_counts(lean(spark, d)))
     return rates.select("merchant", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("score", 8).alias("score"))
 
 

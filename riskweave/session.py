@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query relies on. UTC keeps hours and days independent of the machine;
 # adaptive execution picks join strategies and partition counts from measured sizes.
@@ -53,3 +54,14 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write `df` as a table in the shared folder and read it back.
+
+    Used before iterative fits: the work is done once, and a lost executor costs a re-read instead
+    of a recomputation of the whole plan.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
