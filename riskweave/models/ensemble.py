@@ -18,7 +18,8 @@ def rounded(value: Column, digits: int = 4) -> Column:
 
 
 def risk_points(probability: Column) -> Column:
-    return F.least(F.lit(99), (probability * 100).cast("int"))
+    points = (probability * 100).cast("int")
+    return F.when(points > 99, 99).otherwise(points)
 
 
 def ensemble_score(df: DataFrame, weights: dict[str, float] | None = None, renormalise: bool = True) -> DataFrame:
@@ -57,7 +58,8 @@ def contributing_factors(
 
 def fallback_score(df: DataFrame, amount: str = "amount") -> DataFrame:
     """Score by amount alone, used while no model is fitted."""
-    p = F.least(F.lit(1.0), F.col(amount) / FALLBACK_AMOUNT)
+    share = F.col(amount) / FALLBACK_AMOUNT
+    p = F.when(share > 1.0, 1.0).otherwise(share)
     return df.withColumns({
         "fraud_probability": p,
         "is_fraud_predicted": p > FRAUD_LIMIT,

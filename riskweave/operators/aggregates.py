@@ -168,34 +168,38 @@ def describe_numeric(df: DataFrame, names: Sequence[str], **sizes: int) -> DataF
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
-    """Equal-width bins over the whole column's range; the last one is closed on both sides."""
+    """Equal-width bins over the whole column's range; the last one is closed on both sides.
+
+    A constant column falls into the middle bin.
+    """
     limits = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     lo, hi, x = F.col("_lo"), F.col("_hi"), F.col(value)
-    place = F.floor((x - lo) * bins / F.nullif(hi - lo, F.lit(0.0)))
+    place = F.coalesce(F.floor((x - lo) * bins / F.nullif(hi - lo, F.lit(0.0))), F.lit(bins // 2))
     placed = df.where(x.isNotNull()).crossJoin(F.broadcast(limits)).withColumn(
-        "bin", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+        "bin", F.least(place, F.lit(bins - 1)).cast("int")
     )
     return placed.groupBy("bin", *([by] if by else [])).agg(F.count("*").alias("count"))
 
 
+def pearson(a: str, b: str) -> Column:
+    """Correlation, null for a constant column; the built-in one fails on those in ANSI mode."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair in one pass, as (a, b, r) rows."""
     pairs = list(combinations(names, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    wide = df.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
     rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}|{b}").alias("r")) for a, b in pairs])
     return wide.select(F.explode(rows).alias("_p")).select("_p.*")
 
 
 def correlation_with_label(df: DataFrame, names: Sequence[str], label: str = "is_fraud") -> DataFrame:
     """Correlation of each feature with the label, strongest first; null for a constant feature."""
-    y = F.col(label).cast("double")
-
-    def r(n: str) -> Column:
-        value = F.corr(F.col(n).cast("double"), y)
-        constant = F.min(F.col(n)) == F.max(F.col(n))
-        return F.when(~constant & ~F.isnan(value), value).alias(n)
-
-    wide = df.agg(*[r(n) for n in names])
+    wide = df.withColumn("_label", F.col(label).cast("double")).agg(*[pearson(n, "_label").alias(n) for n in names])
     rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("r")) for n in names])
     return wide.select(F.explode(rows).alias("_p")).select("_p.*").orderBy(F.desc_nulls_last("r"), "feature")
 

@@ -59,8 +59,8 @@ def _gap_score(previous: Column, ts: str) -> Column:
 def _deviation() -> Column:
     count, amount = F.col("_recent_n"), F.col("amount")
     mean = F.try_divide(F.col("_recent_amount").cast("double"), count)
-    score = F.least(F.lit(1.0), F.try_divide(F.abs(amount - mean), mean))
-    return F.when((count < MIN_HISTORY) | (mean == 0), 0.0).otherwise(score)
+    score = F.try_divide(F.abs(amount - mean), mean)
+    return F.when((count < MIN_HISTORY) | (mean == 0), 0.0).when(score > 1.0, 1.0).otherwise(score)
 
 
 def _channel_share() -> Column:
@@ -70,7 +70,8 @@ def _channel_share() -> Column:
 def _distance() -> Column:
     north = F.col("latitude") - F.try_divide("_lat", "_seen")
     east = F.col("longitude") - F.try_divide("_lng", "_seen")
-    return F.coalesce(F.least(F.lit(1.0), F.sqrt(north * north + east * east) / GEO_SCALE), F.lit(0.0))
+    scaled = F.sqrt(north * north + east * east) / GEO_SCALE
+    return F.when(scaled > 1.0, 1.0).otherwise(F.coalesce(scaled, F.lit(0.0)))
 
 
 def _device_score() -> Column:

@@ -27,7 +27,7 @@ ORDERED = "OVER (PARTITION BY user_id ORDER BY ts, transaction_id)"
 GAP_SQL = f"coalesce(least(1.0::DOUBLE, (epoch_us(ts) - epoch_us(lag(ts) {ORDERED})) / 1000000 / 86400), 1.0::DOUBLE)"
 MEAN_SQL = f"CAST(sum(CAST(amount AS DECIMAL(18,2))) {BACK_30} AS DOUBLE) / nullif(count(*) {BACK_30}, 0)"
 DEVICE_SQL = "CASE WHEN row_number() OVER (PARTITION BY user_id, device_id ORDER BY ts, transaction_id) = 1 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END"
-GEO_SQL = f"""coalesce(least(1.0::DOUBLE, sqrt(power(latitude - avg(latitude) {ROWS_BEFORE}, 2) + power(longitude - avg(longitude) {ROWS_BEFORE}, 2)) / 50), 0.0::DOUBLE)"""
+GEO_SQL = f"""CASE WHEN count(*) {ROWS_BEFORE} = 0 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, sqrt(power(latitude - avg(latitude) {ROWS_BEFORE}, 2) + power(longitude - avg(longitude) {ROWS_BEFORE}, 2)) / 50) END"""
 SHARE_SQL = f"coalesce(count(*) {BACK_30_CHANNEL} / nullif(count(*) {BACK_30}, 0)::DOUBLE, 0.0::DOUBLE)"
 DEVIATION_SQL = "CASE WHEN n < 5 OR mean = 0 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, abs(amount - mean) / mean) END"
 MERCHANT_SQL = """md AS (SELECT merchant, CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE is_fraud) AS f FROM txn GROUP BY ALL),
