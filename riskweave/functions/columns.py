@@ -25,13 +25,17 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts)
 
 
-def money(amount: Column) -> Column:
-    """Fixed-point amount, so sums do not depend on the order of the rows."""
-    return amount.cast("decimal(18,2)")
+def cents(amount: Column) -> Column:
+    """Amounts as whole cents: sums are exact, in any order, and stay on primitive longs."""
+    return F.floor(amount * 100 + 0.5)
+
+
+def from_cents(total: Column) -> Column:
+    return total / F.lit(100.0)
 
 
 def money_sum(amount: Column) -> Column:
-    return F.sum(money(amount)).cast("double")
+    return from_cents(F.sum(cents(amount)))
 
 
 def money_avg(amount: Column) -> Column:

@@ -35,7 +35,7 @@ def _recent(days: int, per: tuple[str, ...] = ()) -> Measure:
 
 
 def _recent_amount(days: int) -> Measure:
-    return Measure("_recent_amount", c.money(F.col("amount")), days * c.DAY, True)
+    return Measure("_recent_amount", c.cents(F.col("amount")), days * c.DAY, True)
 
 
 def _previous() -> Measure:
@@ -58,7 +58,7 @@ def _gap_score(previous: Column, ts: str) -> Column:
 
 def _deviation() -> Column:
     count, amount = F.col("_recent_n"), F.col("amount")
-    mean = F.try_divide(F.col("_recent_amount").cast("double"), count)
+    mean = F.try_divide(c.from_cents(F.col("_recent_amount")), count)
     score = F.try_divide(F.abs(amount - mean), mean)
     return F.when((count < MIN_HISTORY) | (mean == 0), 0.0).when(score > 1.0, 1.0).otherwise(score)
 
@@ -107,7 +107,7 @@ def amount_vs_avg(df: DataFrame, days: int = DAYS_BACK, ts: str = "ts", **sizes:
 def amount_ratio(df: DataFrame, days: int = DAYS_BACK, ts: str = "ts", **sizes: int) -> DataFrame:
     """Amount over the user's mean of the past days; null without one."""
     rows = _history(df, [_recent(days), _recent_amount(days)], ts, **sizes)
-    mean = F.try_divide(F.col("_recent_amount").cast("double"), F.col("_recent_n"))
+    mean = F.try_divide(c.from_cents(F.col("_recent_amount")), F.col("_recent_n"))
     return rows.withColumn("amount_ratio_30d", F.try_divide("amount", mean)).drop("_recent_n", "_recent_amount")
 
 
