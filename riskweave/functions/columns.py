@@ -143,5 +143,11 @@ def percent(part: Column, whole: Column, digits: int = 4) -> Column:
     return F.round(part * F.lit(100.0) / F.greatest(whole, F.lit(1)), digits)
 
 
+def id_hash(ident: Column, seed: int) -> Column:
+    """A repeatable 32-bit number per id, the same in every engine that knows MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), ident.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
 def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")

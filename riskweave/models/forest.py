@@ -44,21 +44,25 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, depth: int) -> list[tuple
 
 
 def path_lengths(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, length: np.ndarray, depth: int) -> np.ndarray:
-    """Mean path length of each row over all trees (arrays are trees × nodes)."""
-    rows, total = np.arange(len(x)), np.zeros(len(x))
-    for f, t, n in zip(feature, threshold, length):
+    """Mean path length of each row over all trees (arrays are trees × nodes).
+
+    A leaf leads back to itself, so all rows take `depth` steps without branching.
+    """
+    inner, node = feature >= 0, np.arange(feature.shape[1])
+    left = np.where(inner, 2 * node + 1, node)
+    limit = np.where(inner, threshold, np.inf)
+    column = np.where(inner, feature, 0) * len(x)
+    cells, rows, total = np.ascontiguousarray(x.T).ravel(), np.arange(len(x)), np.zeros(len(x))
+    for c, t, l, n in zip(column, limit, left, length):
         at = np.zeros(len(x), dtype=np.int64)
         for _ in range(depth):
-            split = f[at]
-            child = 2 * at + 1 + (x[rows, np.maximum(split, 0)] > t[at])
-            at = np.where(split >= 0, child, at)
-        total += n[at]
+            at = l.take(at) + (cells.take(c.take(at) + rows) > t.take(at))
+        total += n.take(at)
     return total / len(feature)
 
 
-def draw_rows(df: DataFrame, features: Sequence[str], ident: str, trees: int, sample: int, seed: int) -> DataFrame:
-    """`sample` rows for each tree, without repeats within a tree."""
-    n = df.count()
+def draw_rows(df: DataFrame, n: int, features: Sequence[str], ident: str, trees: int, sample: int, seed: int) -> DataFrame:
+    """`sample` of the `n` rows for each tree, without repeats within a tree."""
     need = SPARE * trees * sample
     rows = df.select(ident, *[F.col(f).cast("double").alias(f) for f in features])
     copies = 1
@@ -110,11 +114,11 @@ class IsolationForest:
             out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "length"])
             return out.assign(tree=tree)[["tree", "node", "feature", "threshold", "length"]]
 
-        drawn = draw_rows(df, features, ident, trees, sample, seed)
-        psi = min(sample, df.count())
+        n = df.count()
+        drawn = draw_rows(df, n, features, ident, trees, sample, seed)
         # At most trees x 511 nodes come back, independent of the data.
         nodes = drawn.groupBy("tree").applyInPandas(grow, NODE).toPandas()
-        model = cls._from_nodes(nodes, features, psi, depth, contamination)
+        model = cls._from_nodes(nodes, features, min(sample, n), depth, contamination)
         spread = df.select(model.score_column().alias("s")).agg(
             F.percentile_approx("s", 1.0 - contamination, 10_000).alias("limit"), F.min("s").alias("low"), F.max("s").alias("high")
         ).first()

@@ -10,6 +10,7 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from riskweave.functions.columns import id_hash
 from riskweave.operators.projections import balance_features, clean_numeric, high_amount_p95, type_one_hot
 from riskweave.schemas import FEATURES, PAYMENT_TYPES
 from riskweave.session import shared_dir
@@ -34,7 +35,7 @@ def feature_matrix(df: DataFrame, names: Sequence[str] = FEATURES, output: str =
 def stratified_split(df: DataFrame, ident: str = "transaction_id", test_percent: int = 20, seed: int = 42) -> DataFrame:
     """Adds `split`. A hash of the id decides, so both labels are cut alike and no repartition or
     retry moves a row from one side to the other."""
-    test = F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(100)) < test_percent
+    test = id_hash(F.col(ident), seed) % 100 < test_percent
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 

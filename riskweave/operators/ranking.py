@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskweave.functions import columns as c
+
 
 def latest_transactions(df: DataFrame, limit: int = 50, ts: str = "ts") -> DataFrame:
     if not 1 <= limit <= 500:
@@ -33,16 +35,12 @@ def sample_rows(df: DataFrame, n: int, ident: str = "transaction_id", seed: int
     before it are taken whole and only that one slot is sorted, so no task sees the whole sample.
     """
     slots = 65_536
-    hashed = df.withColumn("_h", F.xxhash64(F.col(ident), F.lit(seed))).withColumn("_slot", F.pmod("_h", F.lit(slots)))
+    hashed = df.withColumn("_h", c.id_hash(F.col(ident), seed)).withColumn("_slot", F.floor(F.col("_h") / slots))
     sizes = hashed.groupBy("_slot").agg(F.count("*").alias("_n"))
-    ordered = sizes.select(
-        F.col("_slot").alias("_cut"),
-        F.sum("_n").over(Window.orderBy("_slot")).alias("_upto"),
-        F.col("_n").alias("_size"),
-    )
-    cut = ordered.where(F.col("_upto") >= n).agg(F.min(F.struct("_cut", "_upto", "_size")).alias("_c")).select(
-        F.coalesce("_c._cut", F.lit(slots)).alias("_cut"),
-        (n - (F.col("_c._upto") - F.col("_c._size"))).alias("_missing"),
+    upto = F.sum("_n").over(Window.orderBy("_slot"))
+    cut = sizes.select("_slot", "_n", upto.alias("_upto")).where(F.col("_upto") >= n).agg(
+        F.coalesce(F.min("_slot"), F.lit(slots)).alias("_cut"),
+        F.min_by(F.col("_n") - F.col("_upto") + n, "_slot").alias("_missing"),
     )
     marked = hashed.crossJoin(F.broadcast(cut)).where(F.col("_slot") <= F.col("_cut"))
     whole = marked.where(F.col("_slot") < F.col("_cut")).select(*df.columns)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.functions import columns as c
-from riskweave.operators import aggregates as a, alerts, projections as p
+from riskweave.operators import aggregates as a
 from riskweave.plans.registry import iso_sql, money_avg_sql, money_sum_sql, pay, query, txn
 from riskweave.plans.rows import CATEGORY_SQL
-from riskweave.schemas import EVENT_CHANNELS, GEO_REGIONS, PAYMENT_TYPES
+from riskweave.schemas import CHANNELS, EVENT_CHANNELS
 from riskweave.sources.tables import payments, transactions
 
 FRAUD = "count(*) FILTER (WHERE is_fraud)"
@@ -131,11 +131,11 @@ def _(spark, d):
     return a.rate_pivot(transactions(spark, d), "region", "channel", EVENT_CHANNELS)
 
 
-@query("rate_pivot_type_channel", pay("""WITH ch AS (SELECT isFraud, amount > 50000 AS large, type FROM pay) """
-       + _pivot_sql("large", "type", PAYMENT_TYPES, "isFraud = 1", "ch")))
+@query("rate_pivot_type_channel", pay("""WITH ch AS (SELECT isFraud, type, CASE type WHEN 'PAYMENT' THEN 'WEB' WHEN 'TRANSFER' THEN 'API' WHEN 'CASH_OUT' THEN 'ATM'
+  WHEN 'CASH_IN' THEN 'MOBILE' WHEN 'DEBIT' THEN 'POS' END AS channel FROM pay) """ + _pivot_sql("type", "channel", CHANNELS, "isFraud = 1", "ch")))
 def _(spark, d):
-    rows = payments(spark, d, balances=False).withColumn("large", F.col("amount") > 50000)
-    return a.rate_pivot(rows, "large", "type", PAYMENT_TYPES, "isFraud")
+    rows = payments(spark, d, balances=False).withColumn("channel", c.type_channel(F.col("type")))
+    return a.rate_pivot(rows, "type", "channel", CHANNELS, "isFraud")
 
 
 @query("merchant_ranking", txn(f"""SELECT merchant, count(*) AS txns, {FRAUD} AS fraud, round(avg(risk_score), 4) AS avg_risk,
@@ -190,6 +190,12 @@ def _(spark, d):
     return a.histogram(rows, "risk_score", 40, "is_fraud")
 
 
+@query("histogram_latency", txn(_histogram_sql(30).replace("WITH lim", "WITH h AS (SELECT CAST(processing_ms AS DOUBLE) AS x FROM txn), lim")))
+def _(spark, d):
+    rows = lean(spark, d).withColumn("processing_ms", F.col("processing_ms").cast("double"))
+    return a.histogram(rows, "processing_ms", 30)
+
+
 CORRELATED = ["amount", "risk_score", "processing_ms", "latitude"]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from riskweave.functions import columns as c
 from riskweave.operators import aggregates, alerts, ranking as k
@@ -42,8 +42,6 @@ def _(spark, d):
   (SELECT user_id, merchant, count(*) AS links FROM txn WHERE is_fraud GROUP BY ALL) ORDER BY place LIMIT 100"""))
 def _(spark, d):
     edges = aggregates.entity_edges(lean(spark, d)).drop("max_risk").orderBy(F.desc("links"), "user_id", "merchant").limit(100)
-    from pyspark.sql import Window
-
     return edges.withColumn("place", F.row_number().over(Window.orderBy(F.desc("links"), "user_id", "merchant")))
 
 
@@ -57,6 +55,7 @@ def _(spark, d):
     return k.tail_rows(lean(spark, d), 5).select("transaction_id", "user_id", "amount")
 
 
-@query("sample_rows")
+@query("sample_rows", txn("""SELECT transaction_id, user_id, amount FROM txn
+  ORDER BY ('0x' || substr(md5('42:' || transaction_id), 1, 8))::BIGINT, transaction_id LIMIT 500"""))
 def _(spark, d):
     return k.sample_rows(lean(spark, d), 500).select("transaction_id", "user_id", "amount")

@@ -166,7 +166,8 @@ def _(spark, d):
     return learn.balance_weight(lean(spark, d))
 
 
-@query("stratified_split")
+@query("stratified_split", txn("""SELECT transaction_id, is_fraud, CASE WHEN ('0x' || substr(md5('42:' || transaction_id), 1, 8))::BIGINT % 100 < 20
+  THEN 'test' ELSE 'train' END AS split FROM txn"""))
 def _(spark, d):
     return learn.stratified_split(lean(spark, d)).select("transaction_id", "is_fraud", "split")
 

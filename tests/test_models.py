@@ -72,7 +72,7 @@ def test_forest_fit_is_repeatable_and_saved(spark, planted, forest, tmp_path):
 def test_forest_draws_full_samples(planted):
     from riskweave.models.forest import draw_rows
 
-    sizes = draw_rows(planted, ["a"], "transaction_id", 40, 64, 1).groupBy("tree").agg(
+    sizes = draw_rows(planted, planted.count(), ["a"], "transaction_id", 40, 64, 1).groupBy("tree").agg(
         F.count("*").alias("n"), F.count_distinct("transaction_id").alias("d")).collect()
     assert len(sizes) == 40 and all(r["n"] == r["d"] == 64 for r in sizes)
 
