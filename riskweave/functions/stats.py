@@ -9,19 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 from riskweave.functions.history import Measure, before
 
 
-def cumulative_counts(df: DataFrame, value: str, by: Sequence[str] = (), **sizes: int) -> DataFrame:
-    """Distinct values with their row count `n` and the number `below` of rows with smaller values."""
-    by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    if not by:
-        counts = counts.withColumn("_all", F.lit(0))
-    return before(
-        counts, by or ["_all"], "value", "value", [Measure("below", F.col("n"))], **sizes
-    ).drop("_all")
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values with their row count `n`, nulls left out."""
+    x = F.col(value).cast("double")
+    return df.where(x.isNotNull()).groupBy(*by, x.alias("value")).agg(F.count("*").alias("n"))
+
+
+def with_rows_below(counts: DataFrame, by: Sequence[str] = (), order: str = "value", **sizes: int) -> DataFrame:
+    """Adds `below`, the number of rows that come before the value in the order."""
+    keyed = counts if by else counts.withColumn("_all", F.lit(0))
+    return before(keyed, by or ["_all"], order, order, [Measure("below", F.col("n"))], **sizes).drop("_all")
 
 
 def exact_percentiles(
@@ -30,11 +27,13 @@ def exact_percentiles(
     """Linearly interpolated percentiles, one column per entry of `probs`.
 
     Equal values are counted first, then ranks come from balanced running totals; a percentile is
-    read at the values that cover its rank. No task sees more than a chunk of distinct values.
+    read at the values that cover its rank. No task sees more than a chunk of distinct values, and
+    the counts are shuffled once for both the ranks and the totals.
     """
     by = list(by)
-    ranked = cumulative_counts(df, value, by, **sizes)
-    totals = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("_total"))
+    counts = value_counts(df, value, by)
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
+    ranked = with_rows_below(counts, by, **sizes)
     joined = ranked.join(totals, by) if by else ranked.crossJoin(F.broadcast(totals))
     below, upto = F.col("below"), F.col("below") + F.col("n")
 

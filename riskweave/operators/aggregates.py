@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.functions import columns as c
-from riskweave.functions.stats import exact_percentiles
+from riskweave.functions.stats import exact_percentiles, with_rows_below
 
 
 def fraud_count(flag: str = "is_fraud") -> Column:
@@ -303,7 +303,10 @@ def latency_percentiles(df: DataFrame, ts: str = "ts", **sizes: int) -> DataFram
     )
 
 
-def risk_rank(df: DataFrame) -> DataFrame:
-    """Merchants ranked by fraud rate; the window runs over one row per merchant."""
+def risk_rank(df: DataFrame, **sizes: int) -> DataFrame:
+    """Merchants ranked by fraud rate, equal rates sharing a rank. Ranks are counted from the
+    distinct rates, so no task has to hold all merchants."""
     rates = df.groupBy("merchant").agg(rate().alias("fraud_rate_pct"))
-    return rates.withColumn("rank", F.rank().over(Window.orderBy(F.desc("fraud_rate_pct"))))
+    places = rates.groupBy("fraud_rate_pct").agg(F.count("*").alias("n")).withColumn("_down", -F.col("fraud_rate_pct"))
+    ranked = with_rows_below(places, order="_down", **sizes)
+    return rates.join(ranked.select("fraud_rate_pct", (F.col("below") + 1).cast("int").alias("rank")), "fraud_rate_pct")

@@ -133,20 +133,25 @@ def transaction_features(
     cross_border: Iterable[str] = CROSS_BORDER_REGIONS,
     merchant_daily: DataFrame | None = None,
     keep: Iterable[str] = (),
+    regions: DataFrame | None = None,
     **sizes: int,
 ) -> DataFrame:
     """The 12 features in their fixed order, after the id and the columns in `keep`.
 
-    All user features share one exchange. The merchant score joins a table of merchant-days.
+    All user features share one exchange. The merchant score joins a table of merchant-days. When
+    the region comes from a lookup of users, pass it as `regions` (user_id, region): it is joined
+    last, once, instead of below every pass over the rows.
     """
     measures = [
         _velocity(1), _recent(DAYS_BACK), _recent_amount(DAYS_BACK), _recent(DAYS_BACK, ("channel",)),
         _previous(), *_geo(), _device(),
     ]
     wanted = [ID, "user_id", ts, "amount", "channel", "merchant", "region", "latitude", "longitude", "device_id", "is_fraud"]
-    columns = list(dict.fromkeys([*wanted, *keep]))
+    columns = [n for n in dict.fromkeys([*wanted, *keep]) if regions is None or n != "region"]
     daily = merchant_daily_counts(df, ts) if merchant_daily is None else merchant_daily
     scored = merchant_risk_asof(_history(df.select(*columns), measures, ts, **sizes), ts, daily=daily)
+    if regions is not None:
+        scored = scored.join(regions, "user_id", "left")
     features: dict[str, Column] = {
         "transaction_amount": F.col("amount"),
         "velocity_1h": F.col("_velocity"),

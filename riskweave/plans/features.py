@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.operators import aggregates, features as f
 from riskweave.plans.registry import query, txn
 from riskweave.schemas import FEATURES, GEO_CROSS_BORDER
-from riskweave.sources.tables import transactions
+from riskweave.sources.tables import transactions, user_regions
 
 
 def lean(spark, d):
@@ -103,7 +103,7 @@ FEATURES_SQL = f"""WITH {MERCHANT_SQL},
 @query("transaction_features", txn(f"""{FEATURES_SQL}
   SELECT transaction_id, {", ".join(f"round({n}, 6) AS {n}" for n in FEATURES)} FROM feats"""))
 def _(spark, d):
-    rows = f.transaction_features(transactions(spark, d), cross_border=GEO_CROSS_BORDER)
+    rows = f.transaction_features(lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER)
     return rows.select("transaction_id", *[F.round(n, 6).alias(n) for n in FEATURES])
 
 
@@ -112,7 +112,7 @@ def _(spark, d):
 def _(spark, d):
     from riskweave.operators.projections import MODEL_INPUT
 
-    rows = f.transaction_features(transactions(spark, d), cross_border=GEO_CROSS_BORDER)
+    rows = f.transaction_features(lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER)
     return rows.select(*[F.round(n, 6).alias(n) for n in MODEL_INPUT])
 
 
@@ -120,7 +120,7 @@ def _(spark, d):
     f"SELECT '{n}' AS feature, CASE WHEN min({n}) = max({n}) THEN NULL ELSE round(corr({n}, CAST(is_fraud AS DOUBLE)), 6) END AS r FROM feats"
     for n in FEATURES)))
 def _(spark, d):
-    rows = f.transaction_features(transactions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud"])
+    rows = f.transaction_features(lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud"])
     return aggregates.correlation_with_label(rows, FEATURES).withColumn("r", F.round("r", 6))
 
 

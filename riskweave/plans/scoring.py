@@ -15,7 +15,7 @@ from riskweave.operators import features as f
 from riskweave.plans.registry import pay, query, txn
 from riskweave.schemas import FEATURES, GEO_CROSS_BORDER
 from riskweave.session import materialize
-from riskweave.sources.tables import payments, transactions
+from riskweave.sources.tables import payments, transactions, user_regions
 
 
 def lean(spark, d):
@@ -174,7 +174,7 @@ def _(spark, d):
 
 def training_table(spark, d):
     """The 12 features with label and split, computed once."""
-    rows = f.transaction_features(transactions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud", "user_id", "ts"])
+    rows = f.transaction_features(lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud", "user_id", "ts"])
     return materialize(learn.stratified_split(rows))
 
 

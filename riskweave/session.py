@@ -8,13 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query relies on. UTC keeps hours and days independent of the machine;
-# adaptive execution picks join strategies and partition counts from measured sizes.
+# adaptive execution picks join strategies and partition counts from measured sizes; stream state
+# lives in RocksDB, off the heap.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

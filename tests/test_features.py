@@ -60,6 +60,14 @@ def test_feature_vector(spark, seed, sizes):
         assert list(r_)[1:] == pytest.approx([float(x) for x in want[r_["transaction_id"]]]), r_
 
 
+def test_regions_may_come_from_a_lookup(spark):
+    df = spark.createDataFrame(make(random.Random(2), 60), SCHEMA).withColumn("region", F.when(F.col("user_id") == 1, "APAC").otherwise("EU-WEST"))
+    lookup = df.select("user_id", "region").distinct().where("user_id < 3")
+    direct = {r_["transaction_id"]: tuple(r_) for r_ in f.transaction_features(df).collect()}
+    looked_up = {r_["transaction_id"]: tuple(r_) for r_ in f.transaction_features(df.drop("region"), regions=lookup).collect()}
+    assert direct == looked_up
+
+
 @pytest.mark.parametrize("sizes", [{}, {"hot_rows": 5, "chunk_rows": 4}])
 def test_other_history_features(spark, sizes):
     rows = make(random.Random(11), 60)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave.models.ensemble import batch_predict
 from riskweave.plans.rows import json_messages
-from riskweave.schemas import PAYMENT, STORED_TRANSACTION, TIMED_TRANSACTION, TRANSACTION
+from riskweave.schemas import PAYMENT, STORED_PREDICTION, STORED_TRANSACTION, TIMED_TRANSACTION, TRANSACTION
 from riskweave.session import materialize, shared_dir
 from riskweave.sources import files, stores
 from riskweave.sources.tables import payments, transactions
@@ -58,7 +58,7 @@ def test_store_forms(spark, small):
     gaps = stores.stored_transactions(rows.limit(1).withColumns({"risk_score": F.lit(None).cast("int"), "is_fraud": F.lit(None).cast("boolean")})).first()
     assert gaps["risk_score"] == 0 and gaps["is_fraud"] is False
     made = stores.stored_predictions(batch_predict(rows), F.lit(datetime(2024, 1, 1)))
-    assert dict(made.dtypes)["fraud_probability"] == "decimal(6,4)"
+    assert [(f.name, f.dataType) for f in made.schema] == [(f.name, f.dataType) for f in STORED_PREDICTION]
     assert made.first()["model_scores"].startswith('{"fallback"')
 
 
@@ -85,3 +85,12 @@ def test_materialized_table_lies_in_the_shared_folder(spark, small):
     table = materialize(rows)
     assert table.dtypes == rows.dtypes and table.count() == 1000
     assert table.inputFiles()[0].removeprefix("file:").lstrip("/").startswith(shared_dir(spark).removeprefix("file:").lstrip("/"))
+
+
+def test_jdbc_append_writes_in_batches(spark, small, monkeypatch):
+    """No database here: only the call is checked."""
+    calls = []
+    rows = transactions(spark, small, region=False)
+    monkeypatch.setattr(type(rows.write), "jdbc", lambda self, *args, **kwargs: calls.append((args, kwargs)))
+    stores.jdbc_append(rows, "jdbc:db://host/x", "transactions", {"user": "u"})
+    assert calls == [(("jdbc:db://host/x", "transactions"), {"mode": "append", "properties": {"batchsize": "10000", "user": "u"}})]
