@@ -44,25 +44,28 @@ class Measure(NamedTuple):
     how: str = "sum"
 
 
-def hot_keys(
-    df: DataFrame, key: Sequence[str], time: str, hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
-    """Keys that need chunks, with the start and width of their chunks.
+def key_sizes(df: DataFrame, key: Sequence[str], time: str) -> DataFrame:
+    t = F.col(time).cast("double")
+    return df.groupBy(*key).agg(F.count("*").alias("_n"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
+
+
+def extent(sizes: DataFrame) -> DataFrame:
+    """One row with the number of rows and the first and last time of all."""
+    return sizes.agg(F.sum("_n").alias("_total"), F.min("_t0").alias("_begin"), F.max("_t1").alias("_end"))
+
+
+def hot_keys(sizes: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Keys that need chunks, with the width of their chunks.
 
     A hot key has more than `hot_rows` rows and more than 1/65,536 of all rows. The second limit
     bounds the list at 65,536 keys whatever the size of the data, so it is safe to broadcast.
     """
-    t = F.col(time).cast("double")
-    sizes = df.groupBy(*key).agg(F.count("*").alias("_n"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
-    total = sizes.agg(F.sum("_n").alias("_total"))
+    span = F.col("_t1") - F.col("_t0")
+    within = F.col("_t0").between(F.col("_begin"), F.col("_end"))
     return (
-        sizes.crossJoin(F.broadcast(total))
-        .where((F.col("_n") > hot_rows) & (F.col("_n") > F.col("_total") / MAX_HOT_KEYS))
-        .select(
-            *key,
-            "_t0",
-            ((F.col("_t1") - F.col("_t0")) / F.ceil(F.col("_n") / chunk_rows)).alias("_width"),
-        )
+        sizes.crossJoin(F.broadcast(extent(sizes)))
+        .where((F.col("_n") > hot_rows) & (F.col("_n") > F.col("_total") / MAX_HOT_KEYS) & within)
+        .select(*key, (span / F.ceil(F.col("_n") / chunk_rows)).alias("_width"))
     )
 
 
@@ -83,13 +86,21 @@ def before(
     key = list(key)
     subkeys = sorted({c for m in measures for c in m.per})
     lookbacks = sorted({(m.within, m.inclusive) for m in measures if m.within is not None})
-    hot = hot_keys(df, key, time, hot_rows, chunk_rows)
-    entries = _ledger(_with_chunk_bounds(df, hot, key), key, subkeys, time, ident, measures, lookbacks)
+    # The hot keys and the extent read the same columns of the key sizes, so one pass serves both.
+    sizes = key_sizes(df, key, time)
+    rows = _with_chunk_bounds(df, hot_keys(sizes, key, hot_rows, chunk_rows), key)
+    rows = rows.crossJoin(F.broadcast(extent(sizes)))
+    entries = _ledger(rows, key, subkeys, time, ident, measures, lookbacks, hot_rows)
     carried = _carry_rows(entries, key, subkeys, measures)
     rows = entries.unionByName(carried, allowMissingColumns=True).repartition(*key, "_chunk")
 
-    # One exchange on (key, chunk) serves every window below, finer ones included.
-    for per in sorted({m.per for m in measures}, key=len):
+    # One exchange on (key, chunk) serves every window below, finer ones included. Look-backs that
+    # no later window needs are left out of its sort.
+    def slots(per: tuple[str, ...]) -> set[int]:
+        return {lookbacks.index((m.within, m.inclusive)) + 1 for m in measures if m.per == per and m.within is not None}
+
+    levels = sorted({m.per for m in measures}, key=lambda per: (len(per) > 0, -len(slots(per)), per))
+    for done, per in enumerate(levels):
         earlier = (
             Window.partitionBy(*key, "_chunk", *per)
             .orderBy("_t", "_rank", ident)
@@ -98,9 +109,9 @@ def before(
         rows = rows.withColumns(
             {f"_m_{m.name}": _total(m, F.col(f"_m_{m.name}")).over(earlier) for m in measures if m.per == per}
         )
-    return rows.where(F.col("_slot") == 0).select(
-        *df.columns, *[_result(m, F.col(f"_m_{m.name}")).alias(m.name) for m in measures]
-    )
+        still = {-1, 0}.union(*[slots(later) for later in levels[done + 1:]])
+        rows = rows.where(F.col("_slot").isin(*(still if done + 1 < len(levels) else {0})))
+    return rows.select(*df.columns, *[_result(m, F.col(f"_m_{m.name}")).alias(m.name) for m in measures])
 
 
 def _with_chunk_bounds(df: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
@@ -117,6 +128,7 @@ def _ledger(
     ident: str,
     measures: Sequence[Measure],
     lookbacks: list[tuple[int, bool]],
+    hot_rows: int,
 ) -> DataFrame:
     """The rows themselves (slot 0) plus one narrow entry per look-back at the time they leave it."""
 
@@ -129,11 +141,13 @@ def _ledger(
         posts.append(entry(slot, _EXPIRES_AFTER if inclusive else _EXPIRED, t + span))
 
     keep = {*key, *subkeys, ident}
-    payload = [c for c in df.columns if c not in keep]
+    payload = [c for c in df.columns if c not in keep and c not in ("_width", "_total", "_begin", "_end")]
     values = {f"_m_{m.name}": m.value if m.how != "last" else F.struct(t, F.col(ident), m.value.alias("value")) for m in measures}
     rows = df.withColumns(values)
     if lookbacks:
+        # What leaves its look-back after the last row of all can no longer matter.
         rows = rows.withColumn("_post", F.explode(F.array(*posts)))
+        rows = rows.where((F.col("_post.slot") == 0) | (F.col("_post.t").cast("double") <= F.col("_end")))
     else:
         rows = rows.withColumn("_post", posts[0])
     slot = F.col("_post.slot")
@@ -148,13 +162,14 @@ def _ledger(
     def own(c: str) -> Column:
         return (F.when(slot == 0, F.col(c)) if lookbacks else F.col(c)).alias(c)
 
-    since = (F.col("_post.t").cast("double") - F.col("_t0")) / F.nullif(F.col("_width"), F.lit(0.0))
+    hot = F.col("_width").isNotNull() & (F.col("_total") > hot_rows)
+    since = (F.col("_post.t").cast("double") - F.col("_begin")) / F.nullif(F.col("_width"), F.lit(0.0))
     return rows.select(
         *key,
         *[c for c in dict.fromkeys([*subkeys, ident]) if c not in key],
-        *[own(c) for c in payload if c not in ("_t0", "_width")],
-        F.coalesce(F.floor(since), F.lit(0)).cast("long").alias("_chunk"),
-        F.col("_t0").isNotNull().alias("_hot"),
+        *[own(c) for c in payload],
+        F.coalesce(F.when(hot, F.floor(since)), F.lit(0)).cast("long").alias("_chunk"),
+        hot.alias("_hot"),
         slot.alias("_slot"),
         F.col("_post.rank").alias("_rank"),
         F.col("_post.t").alias("_t"),

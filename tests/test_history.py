@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from riskweave.functions.columns import DAY, HOUR
-from riskweave.functions.history import Measure, before, hot_keys, with_blocks
+from riskweave.functions.history import Measure, before, hot_keys, key_sizes, with_blocks
 from riskweave.functions.stats import exact_percentiles
 
 SCHEMA = "user int, t long, id int, kind string, amount long"
@@ -86,7 +86,7 @@ def test_null_key_is_a_key_of_its_own(spark):
 def test_one_key_with_a_third_of_the_rows_spreads_over_chunks(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user"), F.col("id").alias("t"), "id")
-    hot = hot_keys(df, ["user"], "t", hot_rows=500, chunk_rows=100).collect()
+    hot = hot_keys(key_sizes(df, ["user"], "t"), ["user"], hot_rows=500, chunk_rows=100).collect()
     assert [r["user"] for r in hot] == [0]
     assert hot[0]["_width"] == pytest.approx(2997 / 10)
     out = before(df, ["user"], "t", "id", [Measure("n", F.lit(1))], hot_rows=500, chunk_rows=100)
