@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.schemas import CROSS_BORDER_REGIONS, PAYMENT_TYPES, TYPE_TO_CHANNEL
 
@@ -12,6 +12,7 @@ from riskweave.schemas import CROSS_BORDER_REGIONS, PAYMENT_TYPES, TYPE_TO_CHANN
 AMOUNT_HIGH, AMOUNT_MEDIUM, LARGE_AMOUNT = 1000, 300, 500
 RISK_CRITICAL, RISK_HIGH, RISK_MEDIUM = 80, 60, 30
 SEVERITY_CRITICAL, SEVERITY_HIGH = 95, 80
+MONEY_DIGITS, MONEY_LIMIT = 6, 1e18
 MICROS = 1_000_000
 HOUR, DAY = 3600 * MICROS, 86400 * MICROS
 
@@ -25,21 +26,34 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts)
 
 
-def cents(amount: Column) -> Column:
-    """Amounts as whole cents: sums are exact, in any order, and stay on primitive longs."""
-    return F.floor(amount * 100 + 0.5)
+def is_finite(value: Column) -> Column:
+    """Neither missing nor NaN nor infinite; false, not null, for a missing value."""
+    value = value.cast("double")
+    return F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), F.lit(False))
+
+
+def money(amount: Column, digits: int = MONEY_DIGITS) -> Column:
+    """An amount with `digits` decimals, so that sums are exact in any order.
+
+    NaN, infinite amounts and those of 10**18 and more are no money: they count as missing.
+    """
+    sound = is_finite(amount) & (F.abs(amount) < MONEY_LIMIT)
+    return F.when(sound, amount).cast(f"decimal({18 + digits},{digits})")
 
 
-def from_cents(total: Column) -> Column:
-    return total / F.lit(100.0)
+def money_sum(amount: Column, digits: int = MONEY_DIGITS) -> Column:
+    return F.sum(money(amount, digits)).cast("double")
 
 
-def money_sum(amount: Column) -> Column:
-    return from_cents(F.sum(cents(amount)))
+def money_avg(amount: Column, digits: int = MONEY_DIGITS) -> Column:
+    return F.try_divide(money_sum(amount, digits), F.count(money(amount, digits)))
 
 
-def money_avg(amount: Column) -> Column:
-    return F.try_divide(money_sum(amount), F.count(amount))
+def sequence_number(df: DataFrame, name: str) -> Column:
+    """A numeric column as it is; of a text id the number its digits make."""
+    if dict(df.dtypes)[name] != "string":
+        return F.col(name)
+    return F.regexp_replace(name, r"\D", "").try_cast("long")
 
 
 def amount_category(amount: Column) -> Column:

@@ -5,11 +5,13 @@ its rows for every row. `before` avoids both:
 
 * Look-backs are written as a ledger. A row adds its value when it happens and takes it away again
   when it leaves the look-back, so a sliding total becomes a running total over the ledger.
-* Keys with very many rows are cut into time chunks of about `chunk_rows` rows. What the earlier
-  chunks add up to is computed by an aggregation (with map-side combine) and enters every chunk as
-  a carry row. The window then runs on (key, chunk); no task holds more than one chunk.
+* The entries of keys with very many rows are range-partitioned by (key, time, id), which Spark does by
+  the quantiles of a sample, into chunks of about `chunk_rows`. Outliers, bursts and many rows at one
+  single time make no chunk larger, as the id breaks ties. What the earlier chunks add up to is
+  computed by an aggregation (with map-side combine) and enters every chunk as a carry row. The
+  window then runs on (key, chunk); no task holds more than one chunk.
 
-Nothing is sampled or dropped: chunk limits only decide where the rows are added up.
+Nothing is sampled away or dropped: chunk limits only decide where the rows are added up.
 """
 
 from __future__ import annotations
@@ -20,9 +22,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskweave.session import materialize
+
 HOT_ROWS = 1_000_000
 CHUNK_ROWS = 250_000
-MAX_HOT_KEYS = 65_536
 
 # Order of ledger entries that share one time.
 _CARRY, _EXPIRED, _ROW, _EXPIRES_AFTER = 0, 1, 2, 3
@@ -44,31 +47,6 @@ class Measure(NamedTuple):
     how: str = "sum"
 
 
-def key_sizes(df: DataFrame, key: Sequence[str], time: str) -> DataFrame:
-    t = F.col(time).cast("double")
-    return df.groupBy(*key).agg(F.count("*").alias("_n"), F.min(t).alias("_t0"), F.max(t).alias("_t1"))
-
-
-def extent(sizes: DataFrame) -> DataFrame:
-    """One row with the number of rows and the first and last time of all."""
-    return sizes.agg(F.sum("_n").alias("_total"), F.min("_t0").alias("_begin"), F.max("_t1").alias("_end"))
-
-
-def hot_keys(sizes: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Keys that need chunks, with the width of their chunks.
-
-    A hot key has more than `hot_rows` rows and more than 1/65,536 of all rows. The second limit
-    bounds the list at 65,536 keys whatever the size of the data, so it is safe to broadcast.
-    """
-    span = F.col("_t1") - F.col("_t0")
-    within = F.col("_t0").between(F.col("_begin"), F.col("_end"))
-    return (
-        sizes.crossJoin(F.broadcast(extent(sizes)))
-        .where((F.col("_n") > hot_rows) & (F.col("_n") > F.col("_total") / MAX_HOT_KEYS) & within)
-        .select(*key, (span / F.ceil(F.col("_n") / chunk_rows)).alias("_width"))
-    )
-
-
 def before(
     df: DataFrame,
     key: Sequence[str],
@@ -81,21 +59,24 @@ def before(
     """`df` with one column per measure: its total over the earlier rows of the same key.
 
     Sums start at 0, "max" and "last" at null. `ident` breaks ties in `time` and must be unique
-    within the key.
+    within the key. A row without a time has null for every measure and counts in none. One pass
+    over the key and time columns runs at once, to see whether any key has more than `hot_rows` rows.
     """
     key = list(key)
     subkeys = sorted({c for m in measures for c in m.per})
     lookbacks = sorted({(m.within, m.inclusive) for m in measures if m.within is not None})
-    # The hot keys and the extent read the same columns of the key sizes, so one pass serves both.
-    sizes = key_sizes(df, key, time)
-    rows = _with_chunk_bounds(df, hot_keys(sizes, key, hot_rows, chunk_rows), key)
-    rows = rows.crossJoin(F.broadcast(extent(sizes)))
-    entries = _ledger(rows, key, subkeys, time, ident, measures, lookbacks, hot_rows)
-    carried = _carry_rows(entries, key, subkeys, measures)
-    rows = entries.unionByName(carried, allowMissingColumns=True).repartition(*key, "_chunk")
+    sizes = df.groupBy(*key).agg(F.count("*").alias("_n"), F.max(F.col(time).cast("double")).alias("_t1"))
+    facts = sizes.agg(F.sum(F.when(F.col("_n") > hot_rows, F.col("_n"))), F.max("_t1")).first()
+    rows = _ledger(df, key, subkeys, time, ident, measures, lookbacks, facts[1])
+    if facts[0]:
+        hot = sizes.where(F.col("_n") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in key])
+        chunks = -(-facts[0] * (1 + len(lookbacks)) // chunk_rows)
+        rows = _chunked(rows, hot, key, subkeys, ident, measures, chunks)
 
     # One exchange on (key, chunk) serves every window below, finer ones included. Look-backs that
     # no later window needs are left out of its sort.
+    rows = rows.repartition(*key, "_chunk")
+
     def slots(per: tuple[str, ...]) -> set[int]:
         return {lookbacks.index((m.within, m.inclusive)) + 1 for m in measures if m.per == per and m.within is not None}
 
@@ -111,13 +92,27 @@ def before(
         )
         still = {-1, 0}.union(*[slots(later) for later in levels[done + 1:]])
         rows = rows.where(F.col("_slot").isin(*(still if done + 1 < len(levels) else {0})))
-    return rows.select(*df.columns, *[_result(m, F.col(f"_m_{m.name}")).alias(m.name) for m in measures])
+    return rows.select(
+        *df.columns,
+        *[F.when(F.col("_t").isNotNull(), _result(m, F.col(f"_m_{m.name}"))).alias(m.name) for m in measures],
+    )
 
 
-def _with_chunk_bounds(df: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
-    bounds = F.broadcast(hot.withColumnsRenamed({k: f"_hot_{k}" for k in key}))
+def _chunked(
+    entries: DataFrame, hot: DataFrame, key: list[str], subkeys: list[str], ident: str, measures: Sequence[Measure], chunks: int
+) -> DataFrame:
+    """Entries of hot keys in chunks with their carry rows, all others in chunk 0.
+
+    The chunks are written once, as the totals and the windows must see the same limits.
+    """
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key])
-    return df.join(bounds, same, "left").drop(*[f"_hot_{k}" for k in key])
+    ranged = (
+        entries.join(hot, same, "left_semi").repartitionByRange(chunks, *key, "_t", "_rank", ident)
+        .withColumn("_chunk", F.spark_partition_id().cast("long") + 1)
+    )
+    placed = materialize(ranged)
+    cold = entries.join(hot, same, "left_anti")
+    return cold.unionByName(placed).unionByName(_carry_rows(placed, key, subkeys, measures), allowMissingColumns=True)
 
 
 def _ledger(
@@ -128,9 +123,12 @@ def _ledger(
     ident: str,
     measures: Sequence[Measure],
     lookbacks: list[tuple[int, bool]],
-    hot_rows: int,
+    end: float | None,
 ) -> DataFrame:
-    """The rows themselves (slot 0) plus one narrow entry per look-back at the time they leave it."""
+    """The rows themselves (slot 0) plus one narrow entry per look-back at the time they leave it.
+
+    What leaves its look-back after `end`, the last time of all, can no longer matter.
+    """
 
     def entry(slot: int, rank: int, t: Column) -> Column:
         return F.struct(F.lit(slot).alias("slot"), F.lit(rank).alias("rank"), t.alias("t"))
@@ -141,13 +139,12 @@ def _ledger(
         posts.append(entry(slot, _EXPIRES_AFTER if inclusive else _EXPIRED, t + span))
 
     keep = {*key, *subkeys, ident}
-    payload = [c for c in df.columns if c not in keep and c not in ("_width", "_total", "_begin", "_end")]
-    values = {f"_m_{m.name}": m.value if m.how != "last" else F.struct(t, F.col(ident), m.value.alias("value")) for m in measures}
-    rows = df.withColumns(values)
+    payload = [c for c in df.columns if c not in keep]
+    values = {m.name: m.value if m.how != "last" else F.struct(t, F.col(ident), m.value.alias("value")) for m in measures}
+    rows = df.withColumns({f"_m_{n}": F.when(t.isNotNull(), v) for n, v in values.items()})
     if lookbacks:
-        # What leaves its look-back after the last row of all can no longer matter.
         rows = rows.withColumn("_post", F.explode(F.array(*posts)))
-        rows = rows.where((F.col("_post.slot") == 0) | (F.col("_post.t").cast("double") <= F.col("_end")))
+        rows = rows.where((F.col("_post.slot") == 0) | (F.col("_post.t").cast("double") <= F.lit(end)))
     else:
         rows = rows.withColumn("_post", posts[0])
     slot = F.col("_post.slot")
@@ -162,14 +159,11 @@ def _ledger(
     def own(c: str) -> Column:
         return (F.when(slot == 0, F.col(c)) if lookbacks else F.col(c)).alias(c)
 
-    hot = F.col("_width").isNotNull() & (F.col("_total") > hot_rows)
-    since = (F.col("_post.t").cast("double") - F.col("_begin")) / F.nullif(F.col("_width"), F.lit(0.0))
     return rows.select(
         *key,
         *[c for c in dict.fromkeys([*subkeys, ident]) if c not in key],
         *[own(c) for c in payload],
-        F.coalesce(F.when(hot, F.floor(since)), F.lit(0)).cast("long").alias("_chunk"),
-        hot.alias("_hot"),
+        F.lit(0).cast("long").alias("_chunk"),
         slot.alias("_slot"),
         F.col("_post.rank").alias("_rank"),
         F.col("_post.t").alias("_t"),
@@ -187,8 +181,7 @@ def _carry_rows(entries: DataFrame, key: list[str], subkeys: list[str], measures
     by = [*key, "_chunk", *subkeys]
     level = {per: sum(1 << (len(by) - 1 - i) for i, c in enumerate(by) if c not in (*key, "_chunk", *per)) for per in levels}
     sums = (
-        entries.where("_hot")
-        .groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by])
+        entries.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by])
         .agg(
             F.grouping_id().alias("_level"),
             *[_total(m, F.col(f"_m_{m.name}")).alias(f"_m_{m.name}") for m in measures],
@@ -201,7 +194,6 @@ def _carry_rows(entries: DataFrame, key: list[str], subkeys: list[str], measures
     )
     return sums.select(
         *by,
-        F.lit(False).alias("_hot"),
         F.lit(-1).alias("_slot"),
         F.lit(_CARRY).alias("_rank"),
         *[
@@ -224,17 +216,11 @@ def _result(m: Measure, total: Column) -> Column:
 def with_blocks(df: DataFrame, key: Sequence[str], position: str, lead_in: int, block: int = 4096) -> DataFrame:
     """Cut each key into blocks of `block` consecutive positions for frames of up to `lead_in` rows.
 
-    `position` is the row's number within its key (0, 1, 2, ...). The last `lead_in` rows of a block
-    also appear in the next one, marked `_lead_in`; drop them after the window. Every block holds at
-    most `block + lead_in` rows, so a hot key spreads over many tasks.
+    `position` is the row's number within its key (0, 1, 2, ...). A row also appears, marked
+    `_lead_in`, in every later block whose first frames reach back to it; drop those after the
+    window. Every block holds at most `block + lead_in` rows, so a hot key spreads over many tasks.
+    Rows without a position stay, in the block null.
     """
-    p = F.col(position)
-    here = F.struct(F.floor(p / block).alias("block"), F.lit(False).alias("lead_in"))
-    there = F.struct((F.floor(p / block) + 1).alias("block"), F.lit(True).alias("lead_in"))
-    copies = F.when(p % block >= block - lead_in, F.array(here, there)).otherwise(F.array(here))
-    return (
-        df.withColumn("_copy", F.explode(copies))
-        .withColumn("_block", F.col("_copy.block"))
-        .withColumn("_lead_in", F.col("_copy.lead_in"))
-        .drop("_copy")
-    )
+    own = F.floor(F.col(position) / block)
+    blocks = F.coalesce(F.sequence(own, F.floor((F.col(position) + lead_in) / block)), F.array(F.lit(None).cast("long")))
+    return df.withColumn("_block", F.explode(blocks)).withColumn("_lead_in", F.coalesce(F.col("_block") > own, F.lit(False)))

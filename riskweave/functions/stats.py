@@ -10,9 +10,9 @@ from riskweave.functions.history import Measure, before
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with their row count `n`, nulls left out."""
+    """Distinct values with their row count `n`; null and NaN are left out."""
     x = F.col(value).cast("double")
-    return df.where(x.isNotNull()).groupBy(*by, x.alias("value")).agg(F.count("*").alias("n"))
+    return df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*by, x.alias("value")).agg(F.count("*").alias("n"))
 
 
 def with_rows_below(counts: DataFrame, by: Sequence[str] = (), order: str = "value", **sizes: int) -> DataFrame:

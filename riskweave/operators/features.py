@@ -34,8 +34,17 @@ def _recent(days: int, per: tuple[str, ...] = ()) -> Measure:
     return Measure("_recent_" + "_".join(("n", *per)), F.lit(1), days * c.DAY, True, per)
 
 
-def _recent_amount(days: int) -> Measure:
-    return Measure("_recent_amount", c.cents(F.col("amount")), days * c.DAY, True)
+def _recent_amount(days: int) -> list[Measure]:
+    """The sum of past amounts and how many there are; what is no money counts in neither."""
+    paid = c.money(F.col("amount"))
+    return [
+        Measure("_recent_amount", paid, days * c.DAY, True),
+        Measure("_recent_paid", F.when(paid.isNotNull(), 1), days * c.DAY, True),
+    ]
+
+
+def _recent_mean() -> Column:
+    return F.try_divide(F.col("_recent_amount").cast("double"), F.col("_recent_paid"))
 
 
 def _previous() -> Measure:
@@ -57,8 +66,7 @@ def _gap_score(previous: Column, ts: str) -> Column:
 
 
 def _deviation() -> Column:
-    count, amount = F.col("_recent_n"), F.col("amount")
-    mean = F.try_divide(c.from_cents(F.col("_recent_amount")), count)
+    count, amount, mean = F.col("_recent_n"), F.col("amount"), _recent_mean()
     score = F.try_divide(F.abs(amount - mean), mean)
     return F.when((count < MIN_HISTORY) | (mean == 0), 0.0).when(score > 1.0, 1.0).otherwise(score)
 
@@ -100,15 +108,14 @@ def time_since_second_last(df: DataFrame, ts: str = "ts", **sizes: int) -> DataF
 
 def amount_vs_avg(df: DataFrame, days: int = DAYS_BACK, ts: str = "ts", **sizes: int) -> DataFrame:
     """Relative deviation from the user's mean of the past days; 0 below five earlier rows."""
-    rows = _history(df, [_recent(days), _recent_amount(days)], ts, **sizes)
-    return rows.withColumn("amount_vs_avg_30d", _deviation()).drop("_recent_n", "_recent_amount")
+    rows = _history(df, [_recent(days), *_recent_amount(days)], ts, **sizes)
+    return rows.withColumn("amount_vs_avg_30d", _deviation()).drop("_recent_n", "_recent_amount", "_recent_paid")
 
 
 def amount_ratio(df: DataFrame, days: int = DAYS_BACK, ts: str = "ts", **sizes: int) -> DataFrame:
     """Amount over the user's mean of the past days; null without one."""
-    rows = _history(df, [_recent(days), _recent_amount(days)], ts, **sizes)
-    mean = F.try_divide(c.from_cents(F.col("_recent_amount")), F.col("_recent_n"))
-    return rows.withColumn("amount_ratio_30d", F.try_divide("amount", mean)).drop("_recent_n", "_recent_amount")
+    rows = _history(df, _recent_amount(days), ts, **sizes)
+    return rows.withColumn("amount_ratio_30d", F.try_divide("amount", _recent_mean())).drop("_recent_amount", "_recent_paid")
 
 
 def channel_frequency(df: DataFrame, days: int = DAYS_BACK, ts: str = "ts", **sizes: int) -> DataFrame:
@@ -143,7 +150,7 @@ def transaction_features(
     last, once, instead of below every pass over the rows.
     """
     measures = [
-        _velocity(1), _recent(DAYS_BACK), _recent_amount(DAYS_BACK), _recent(DAYS_BACK, ("channel",)),
+        _velocity(1), _recent(DAYS_BACK), *_recent_amount(DAYS_BACK), _recent(DAYS_BACK, ("channel",)),
         _previous(), *_geo(), _device(),
     ]
     wanted = [ID, "user_id", ts, "amount", "channel", "merchant", "region", "latitude", "longitude", "device_id", "is_fraud"]
@@ -170,8 +177,9 @@ def transaction_features(
     return scored.select(ID, *others, *[features[n].cast("double").alias(n) for n in FEATURES])
 
 
-def sequence_window(df: DataFrame, names: Iterable[str] = FEATURES, length: int = SEQUENCE, ts: str = "ts", block: int = 4096, **sizes: int) -> DataFrame:
-    """The previous `length` feature rows of the same user, oldest first, with the row's label.
+def sequence_window(df: DataFrame, names: Iterable[str] = FEATURES, length: int = SEQUENCE, ts: str = "ts", block: int = 4096,
+                    keep: Iterable[str] = (), **sizes: int) -> DataFrame:
+    """The previous `length` feature rows of the same user, oldest first, with the row's label and the columns `keep`.
 
     Rows with fewer earlier rows are left out. Frames run over blocks of consecutive rows of a
     user, so neither a window nor an array ever holds a whole long history.
@@ -181,7 +189,8 @@ def sequence_window(df: DataFrame, names: Iterable[str] = FEATURES, length: int
     blocks = with_blocks(numbered, USER, "_position", length, block)
     window = Window.partitionBy(*USER, "_block").orderBy("_position").rowsBetween(-length, -1)
     rows = blocks.withColumn("sequence", F.collect_list(F.array(*[F.col(n).cast("double") for n in names])).over(window))
-    return rows.where(~F.col("_lead_in") & (F.size("sequence") == length)).select(ID, "user_id", "is_fraud", "sequence")
+    whole = ~F.col("_lead_in") & (F.size("sequence") == length) & F.col("_position").isNotNull()
+    return rows.where(whole).select(ID, "user_id", "is_fraud", *keep, "sequence")
 
 
 def change_rate(df: DataFrame, field: str, name: str, ts: str = "ts", **sizes: int) -> DataFrame:

@@ -11,6 +11,7 @@ from riskweave.functions.history import Measure, before, with_blocks
 from riskweave.operators.aggregates import etl_batch_stats
 
 _ALL = ["_all"]
+GROUP_LIMIT = 1000  # spark.sql.optimizer.windowGroupLimitThreshold
 
 
 def _numbered(df: DataFrame, key: Sequence[str], time: str, ident: str, **sizes: int) -> DataFrame:
@@ -21,7 +22,8 @@ def trailing_latency(df: DataFrame, last: int = 100, key: Sequence[str] = (), ts
     """Mean processing time of the latest `last` records, this one included.
 
     Without a key there is one global order. It is still spread out: positions come from balanced
-    running counts, and the frame runs over blocks of consecutive positions.
+    running counts, and the frame runs over blocks of consecutive positions. A record without a
+    time has no mean and counts in none.
     """
     key = list(key)
     rows = df.withColumns({"_us": c.micros(F.col(ts)), "_all": F.lit(0)})
@@ -29,7 +31,8 @@ def trailing_latency(df: DataFrame, last: int = 100, key: Sequence[str] = (), ts
     blocks = with_blocks(numbered, key or _ALL, "_position", last - 1, block)
     window = Window.partitionBy(*(key or _ALL), "_block").orderBy("_position").rowsBetween(-(last - 1), 0)
     total, count = F.sum("processing_ms").over(window), F.count("processing_ms").over(window)
-    return blocks.withColumn("avg_latency_ms", F.try_divide(total, count)).where(~F.col("_lead_in")).select(
+    mean = F.when(F.col("_position").isNotNull(), F.try_divide(total, count))
+    return blocks.withColumn("avg_latency_ms", mean).where(~F.col("_lead_in")).select(
         *df.columns, "avg_latency_ms"
     )
 
@@ -42,10 +45,18 @@ def throughput(df: DataFrame, seconds: int = 60, cap: int = 60, ts: str = "ts",
 
 
 def recent_per_key(df: DataFrame, key: Sequence[str], n: int, ts: str = "ts", ident: str = "transaction_id") -> DataFrame:
-    """The newest `n` rows per key. The rank filter is pushed below the exchange, so each task
-    forwards at most `n` rows per key and a hot key costs no more than another."""
-    newest = Window.partitionBy(*key).orderBy(F.desc(ts), F.desc(ident))
-    return df.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= n)
+    """The newest `n` rows per key. Up to the planner's group limit (1,000) the rank filter goes below
+    the exchange; beyond, rows are first cut to `n` per key and input partition, then per
+    key and a sixty-fourth of these, so that no task holds more of a hot key than its share."""
+    def cut(rows: DataFrame, *parts: str) -> DataFrame:
+        newest = Window.partitionBy(*key, *parts).orderBy(F.desc(ts), F.desc(ident))
+        return rows.withColumn("rank", F.row_number().over(newest)).where(F.col("rank") <= n)
+
+    if n <= GROUP_LIMIT:
+        return cut(df)
+    rows = df.withColumn("_part", F.spark_partition_id())
+    rows = rows.withColumn("_some", F.col("_part") % 64)
+    return cut(cut(cut(rows, "_part"), "_some")).drop("_part", "_some")
 
 
 def running_counters(df: DataFrame, sequence: str = "transaction_id", size: int = 100, **sizes: int) -> DataFrame:

@@ -8,7 +8,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from riskweave.functions.columns import DAY, HOUR
-from riskweave.functions.history import Measure, before, hot_keys, key_sizes, with_blocks
+from riskweave.functions import history
+from riskweave.functions.history import Measure, before, with_blocks
 from riskweave.functions.stats import exact_percentiles
 
 SCHEMA = "user int, t long, id int, kind string, amount long"
@@ -83,16 +84,44 @@ def test_null_key_is_a_key_of_its_own(spark):
     assert got == brute(rows)
 
 
-def test_one_key_with_a_third_of_the_rows_spreads_over_chunks(spark):
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user"), F.col("id").alias("t"), "id")
-    hot = hot_keys(key_sizes(df, ["user"], "t"), ["user"], hot_rows=500, chunk_rows=100).collect()
-    assert [r["user"] for r in hot] == [0]
-    assert hot[0]["_width"] == pytest.approx(2997 / 10)
+HARD_TIMES = {
+    "a third of the rows": lambda i: float(i),
+    "one outlier": lambda i: 1e12 if i == 7 else i / 1000,
+    "one single time": lambda i: 5.0,
+    "infinite ends": lambda i: float("inf") if i % 3 == 0 else float("-inf") if i % 3 == 1 else float(i),
+    "log-normal": lambda i: float(np.exp(4 * np.sin(i * i))),
+}
+
+
+@pytest.mark.parametrize("kind", HARD_TIMES)
+def test_no_chunk_of_a_hot_key_is_much_larger_than_asked(spark, kind, monkeypatch):
+    rows = [(0, HARD_TIMES[kind](i), i) for i in range(3000)] + [(1 + i, float(i), 5000 + i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "user int, t double, id int")
+    written = []
+    keep = history.materialize
+    monkeypatch.setattr(history, "materialize", lambda x: written.append(keep(x)) or written[-1])
     out = before(df, ["user"], "t", "id", [Measure("n", F.lit(1))], hot_rows=500, chunk_rows=100)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_chunk" in plan
-    assert out.where("user = 0").agg(F.max("n"), F.count("*")).first()[:] == (999, 1000)
+    sizes = [r["count"] for r in written[0].groupBy("user", "_chunk").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 200
+    order = {i: n for n, (_, _, i) in enumerate(sorted(r for r in rows if r[0] == 0))}
+    assert {r["id"]: r["n"] for r in out.where("user = 0").collect()} == order
+
+
+@pytest.mark.parametrize("sizes", [{}, {"hot_rows": 3, "chunk_rows": 2}])
+def test_a_row_without_a_time_has_and_gives_nothing(spark, sizes):
+    rows = make_rows(random.Random(5), 60)
+    timeless = [(0, None, 1000, "a", 7), (0, None, 1001, "b", 7)]
+    got = run(spark, rows + timeless, **sizes)
+    assert {i: v for i, v in got.items() if i < 1000} == brute(rows)
+    assert got[1000] == got[1001] == (None,) * len(measures())
+
+
+@pytest.mark.parametrize("frame, block", [(10, 5), (64, 5), (3, 64), (5, 5)])
+def test_frames_longer_than_a_block_stay_whole(spark, frame, block):
+    df = spark.range(200).select(F.lit(1).alias("k"), F.col("id").alias("p"))
+    w = Window.partitionBy("k", "_block").orderBy("p").rowsBetween(-frame, 0)
+    got = with_blocks(df, ["k"], "p", frame, block).withColumn("s", F.sum("p").over(w)).where("NOT _lead_in").select("p", "s").collect()
+    assert len(got) == 200 and all(r["s"] == sum(range(max(0, r["p"] - frame), r["p"] + 1)) for r in got)
 
 
 def test_blocks_hold_few_rows_and_frames_stay_whole(spark):
