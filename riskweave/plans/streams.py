@@ -23,15 +23,24 @@ from riskweave.session import shared_dir
 from riskweave.sources.stores import AlertStore
 from riskweave.sources.tables import as_transactions, table, transactions, user_regions
 from riskweave.streaming import aggregates as w, jobs, sinks
-from riskweave.streaming.sources import stream_source
+from riskweave.streaming.sources import is_folder, stream_source
+
+
+# Bounds a micro-batch, so that a long table is read in several.
+BATCH = {"maxBytesPerTrigger": "16g"}
 
 
 def live(spark: SparkSession, folder: str, region: bool = True) -> DataFrame:
-    """The events as a stream, joined with the static region table."""
-    events = stream_source(
-        spark, "parquet", table(spark, folder, "events").schema, path=folder, pathGlobFilter="events.parquet")
+    """The events as a stream, joined with the static region table.
+
+    A table is a folder of part files, which is streamed itself, or a single file, which only
+    a pattern over its folder can name.
+    """
+    path = f"{folder}/events.parquet"
+    place = {"path": path} if is_folder(spark, path) else {"path": folder, "pathGlobFilter": "events.parquet"}
+    events = stream_source(spark, "parquet", table(spark, folder, "events").schema, **place, **BATCH)
     rows = as_transactions(events)
-    return rows.join(user_regions(spark, folder), "user_id") if region else rows
+    return rows.join(user_regions(spark, folder), "user_id", "left") if region else rows
 
 
 def fresh(spark: SparkSession) -> str:

@@ -64,20 +64,24 @@ class AlertStore:
         return read_or_empty(self.spark, self.path, schema)
 
     def append(self, alerts: DataFrame, created_at: Column | None = None) -> None:
+        """Of several alerts for a transaction the smallest row is kept, whatever their order."""
         stamp = F.current_timestamp() if created_at is None else created_at
+        rest = [n for n in alerts.columns if n != "transaction_id"]
+        first = alerts.groupBy("transaction_id").agg(F.min(F.struct(*rest)).alias("_first")).select("transaction_id", "_first.*")
         fresh = (
-            alerts.dropDuplicates(["transaction_id"])
-            .withColumn("created_at", stamp)
-            .withColumn("created_day", F.to_date("created_at"))
+            first.select(*alerts.columns).withColumn("created_at", stamp).withColumn("created_day", F.to_date("created_at")).persist()
         )
-        oldest = fresh.agg(F.min("created_day")).first()[0]
-        if oldest is None:
-            return
-        kept = self.read(fresh.schema).where(F.col("created_day") >= F.date_sub(F.lit(oldest), self.days))
-        # Only stored ids that occur in this batch go into the anti join, however large the table is.
-        known = kept.select("transaction_id").join(fresh.select("transaction_id"), "transaction_id", "left_semi")
-        new = fresh.join(known, "transaction_id", "left_anti")
-        new.write.mode("append").partitionBy("created_day").parquet(self.path)
+        try:
+            oldest = fresh.agg(F.min("created_day")).first()[0]
+            if oldest is None:
+                return
+            kept = self.read(fresh.schema).where(F.col("created_day") >= F.date_sub(F.lit(oldest), self.days))
+            # Only stored ids that occur in this batch go into the anti join, however large the table is.
+            known = kept.select("transaction_id").join(fresh.select("transaction_id"), "transaction_id", "left_semi")
+            new = fresh.join(known, "transaction_id", "left_anti")
+            new.write.mode("append").partitionBy("created_day").parquet(self.path)
+        finally:
+            fresh.unpersist()
 
     def current(self, schema: T.StructType, as_of: Column) -> DataFrame:
         """Alerts younger than the retention, whole expired days pruned by partition."""

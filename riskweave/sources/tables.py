@@ -57,13 +57,15 @@ def user_regions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, folder: str, region: bool = True) -> DataFrame:
-    """One row per event. `region=False` leaves the customer join out where it is not needed."""
+    """One row per event, with a null region where the customer is unknown. `region=False` leaves the
+    customer join out where it is not needed; the rows are the same."""
     rows = as_transactions(table(spark, folder, "events"))
-    return rows.join(user_regions(spark, folder), "user_id") if region else rows
+    return rows.join(user_regions(spark, folder), "user_id", "left") if region else rows
 
 
 def payments(spark: SparkSession, folder: str, balances: bool = True) -> DataFrame:
-    """One row per line item. `balances=False` leaves out the party joins and balance columns."""
+    """One row per line item of an order. `balances=False` leaves out the balance columns and their
+    joins; the rows are the same, as an unknown party has null balances."""
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_returnflag"
     )
@@ -90,13 +92,14 @@ def payments(spark: SparkSession, folder: str, balances: bool = True) -> DataFra
     if balances:
         customer = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
         supplier = table(spark, folder, "supplier").select("s_suppkey", "s_acctbal")
-        rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
-            supplier, F.col("l_suppkey") == F.col("s_suppkey")
+        rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(
+            supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left"
         )
-        held = F.greatest(F.col("c_acctbal"), F.lit(0.0)) * 10
+        known = F.col("c_acctbal").isNotNull()
+        held = F.when(known, F.greatest(F.col("c_acctbal"), F.lit(0.0)) * 10)
         columns += [
             held.alias("oldbalanceOrg"),
-            F.greatest(held - amount, F.lit(0.0)).alias("newbalanceOrig"),
+            F.when(known, F.greatest(held - amount, F.lit(0.0))).alias("newbalanceOrig"),
             F.col("s_acctbal").alias("oldbalanceDest"),
             (F.col("s_acctbal") + amount).alias("newbalanceDest"),
         ]
@@ -119,12 +122,11 @@ TXN_SQL = f"""txn AS (
         CAST((e.user_id * 37) % 160 - 80 + (e.event_id % 11 - 5) * 2.0 AS DOUBLE) AS latitude,
         CAST((e.user_id * 53) % 360 - 180 + (e.event_id % 13 - 6) * 3.0 AS DOUBLE) AS longitude,
         CAST(8 + (e.event_id * 13) % 120 AS INTEGER) AS processing_ms
-      FROM events e JOIN customer c ON c.c_custkey = e.user_id
-      JOIN nation n ON n.n_nationkey = c.c_nationkey
-      JOIN region r ON r.r_regionkey = n.n_regionkey)))"""
+      FROM events e LEFT JOIN (customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+        JOIN region r ON r.r_regionkey = n.n_regionkey) ON c.c_custkey = e.user_id)))"""
 
 PAY_SQL = """pay AS (
-  SELECT *, greatest(oldbalanceOrg - amount, 0) AS newbalanceOrig,
+  SELECT *, CASE WHEN oldbalanceOrg IS NOT NULL THEN greatest(oldbalanceOrg - amount, 0) END AS newbalanceOrig,
     oldbalanceDest + amount AS newbalanceDest,
     CAST(isFraud = 1 AND amount > 90000 AS INTEGER) AS isFlaggedFraud
   FROM (SELECT CAST(datediff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) * 24 AS INTEGER) AS step,
@@ -132,8 +134,8 @@ PAY_SQL = """pay AS (
         WHEN '3-MEDIUM' THEN 'CASH_OUT' WHEN '4-NOT SPECIFIED' THEN 'CASH_IN'
         WHEN '5-LOW' THEN 'DEBIT' END AS type,
       l.l_extendedprice AS amount, o.o_custkey AS nameOrig, l.l_suppkey AS nameDest,
-      greatest(c.c_acctbal, 0) * 10 AS oldbalanceOrg, s.s_acctbal AS oldbalanceDest,
+      CASE WHEN c.c_acctbal IS NOT NULL THEN greatest(c.c_acctbal, 0) * 10 END AS oldbalanceOrg, s.s_acctbal AS oldbalanceDest,
       CAST(l.l_returnflag = 'R' AND o.o_orderpriority IN ('2-HIGH', '3-MEDIUM') AS INTEGER) AS isFraud
     FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-    JOIN customer c ON c.c_custkey = o.o_custkey
-    JOIN supplier s ON s.s_suppkey = l.l_suppkey))"""
+    LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+    LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey))"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.models.ensemble import batch_predict, fallback_score
-from riskweave.operators.alerts import alert_candidates, alert_payload
+from riskweave.operators.alerts import alert_candidates, alert_payload, predictor_alert_payload
 from riskweave.operators.aggregates import etl_batch_stats
 from riskweave.operators.features import transaction_features
 from riskweave.operators.joins import merchant_daily_counts
@@ -107,7 +107,7 @@ def score_stream(
             stored = batch.sparkSession.read.schema(made.schema).parquet(f"{predictions}/batch={batch_id}")
             flagged = stored.where(F.col("is_fraud") | (F.col("risk_score") > 72)).select("transaction_id", F.col("risk_score").alias("_risk"))
             rows = batch.withColumn("transaction_id", F.col("transaction_id").cast("string")).join(flagged, "transaction_id")
-            alerts.append(alert_payload(rows.withColumn("risk_score", F.col("_risk")), ts))
+            alerts.append(predictor_alert_payload(rows.withColumn("risk_score", F.col("_risk")), ts))
             history.append(batch, batch_id, ts)
         finally:
             batch.unpersist()

@@ -12,6 +12,12 @@ def kafka_options(servers: str, topic: str, **options: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": topic, **KAFKA_DEFAULTS, **options}
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system Spark reads is a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+
+
 def stream_source(spark: SparkSession, kind: str, schema: T.StructType | None = None, **options: str) -> DataFrame:
     """`kind="kafka"` needs `servers` and `topic`; "json", "parquet" and "text" need `path`.
 
