@@ -18,8 +18,8 @@ def rounded(value: Column, digits: int = 4) -> Column:
 
 
 def risk_points(probability: Column) -> Column:
-    points = (probability * 100).cast("int")
-    return F.when(points > 99, 99).otherwise(points)
+    """0 to 99; the limits are applied before the cast, so no probability is too large for it."""
+    return F.when(probability.isNotNull(), F.greatest(F.lit(0.0), F.least(probability * 100, F.lit(99.0)))).cast("int")
 
 
 def ensemble_score(df: DataFrame, weights: dict[str, float] | None = None, renormalise: bool = True) -> DataFrame:

@@ -62,19 +62,20 @@ def path_lengths(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, leng
 
 
 def draw_rows(df: DataFrame, n: int, features: Sequence[str], ident: str, trees: int, sample: int, seed: int) -> DataFrame:
-    """`sample` of the `n` rows for each tree, without repeats within a tree."""
-    need = SPARE * trees * sample
+    """`sample` of the `n` rows for each tree, without repeats within a tree.
+
+    A row enters the whole part of need / n trees, and one more with a chance of the fractional part; a
+    hash of its id decides, the same way for tables of any size.
+    """
     rows = df.select(ident, *[F.col(f).cast("double").alias(f) for f in features])
-    copies = 1
-    if n > need:
-        span = 1 << 32
-        rows = rows.where(F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(span)) < int(span * need / n))
-    else:
-        copies = min(trees, int(np.ceil(need / max(n, 1))))
-    strides = [s for s in range(1, max(trees, 2)) if np.gcd(s, trees) == 1][:64]
+    share, span = min(trees, SPARE * trees * sample / max(n, 1)), 1 << 32
+    whole = int(share)
+    chance = F.pmod(F.xxhash64(F.col(ident), F.lit(seed)), F.lit(span)) < int(span * (share - whole))
+    copies = F.lit(whole) + chance.cast("int")
+    strides = [s for s in range(1, max(trees, 2)) if np.gcd(s, trees) == 1]
     start = F.xxhash64(F.col(ident), F.lit(seed + 1))
     stride = F.element_at(F.array(*[F.lit(s) for s in strides]), (F.pmod(F.xxhash64(F.col(ident), F.lit(seed + 2)), F.lit(len(strides))) + 1).cast("int"))
-    placed = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn(
+    placed = rows.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).withColumn(
         "tree", F.pmod(F.pmod(start, F.lit(trees)) + F.col("_copy") * stride, F.lit(trees)).cast("int")
     )
     order = Window.partitionBy("tree").orderBy(F.xxhash64(F.col(ident), F.col("tree"), F.lit(seed)), ident)

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskweave.functions.columns import id_hash
 from riskweave.operators.projections import balance_features, clean_numeric, high_amount_p95, type_one_hot
@@ -32,11 +32,31 @@ def feature_matrix(df: DataFrame, names: Sequence[str] = FEATURES, output: str =
     return VectorAssembler(inputCols=list(names), outputCol=output, handleInvalid="keep").transform(df)
 
 
-def stratified_split(df: DataFrame, ident: str = "transaction_id", test_percent: int = 20, seed: int = 42) -> DataFrame:
-    """Adds `split`. A hash of the id decides, so both labels are cut alike and no repartition or
-    retry moves a row from one side to the other."""
-    test = id_hash(F.col(ident), seed) % 100 < test_percent
-    return df.withColumn("split", F.when(test, "test").otherwise("train"))
+def stratified_split(
+    df: DataFrame, ident: str = "transaction_id", test_percent: int = 20, seed: int = 42, label: str = "is_fraud",
+    names: tuple[str, str] = ("test", "train"), output: str = "split",
+) -> DataFrame:
+    """Adds `split`: of each label's rows the `test_percent` percent with the smallest id hashes are test.
+
+    No repartition or retry moves a row from one side to the other. As for a sample, hash slots are
+    counted per label; slots before the one where the share is reached are test as a whole, and only the
+    rows of that slot are sorted.
+    """
+    hashed = df.withColumn("_h", id_hash(F.col(ident), seed)).withColumn("_slot", F.floor(F.col("_h") / 65_536))
+    by_label = Window.partitionBy("_label")
+    sizes = hashed.groupBy(F.col(label).alias("_label"), "_slot").agg(F.count("*").alias("_n")).select(
+        "_label", "_slot", "_n", F.sum("_n").over(by_label.orderBy("_slot")).alias("_upto"),
+        F.floor(F.sum("_n").over(by_label) * F.lit(test_percent) / 100 + 0.5).alias("_wanted"),
+    )
+    cut = sizes.where("_upto >= _wanted").groupBy("_label").agg(
+        F.min("_slot").alias("_cut"), F.min_by(F.col("_wanted") - F.col("_upto") + F.col("_n"), "_slot").alias("_missing")
+    )
+    marked = hashed.join(cut, F.col(label).eqNullSafe(F.col("_label")))
+    apart = marked.where("_slot <> _cut").withColumn("_test", F.col("_slot") < F.col("_cut"))
+    order = Window.partitionBy("_label", "_slot").orderBy("_h", ident)
+    within = marked.where("_slot = _cut").withColumn("_test", F.row_number().over(order) <= F.col("_missing"))
+    both = apart.unionByName(within)
+    return both.withColumn(output, F.when(F.col("_test"), names[0]).otherwise(names[1])).select(*df.columns, output)
 
 
 def balance_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
@@ -86,15 +106,36 @@ def sequence_features(df: DataFrame, sequence: str = "sequence") -> DataFrame:
 
 
 def fit_sequence(
-    sequences: DataFrame, width: int = 120, layers: Sequence[int] = (64, 32), rounds: int = 50, seed: int = 42
+    sequences: DataFrame, width: int = 120, layers: Sequence[int] = (64, 32), rounds: int = 50, seed: int = 42,
+    validation: str | None = None, step: int = 10,
 ) -> PipelineModel:
-    """A perceptron over the scaled features of the previous ten transactions."""
+    """A perceptron over the scaled features of the previous ten transactions.
+
+    `validation` names a boolean column. Its rows are not learned from; after every `step` rounds
+    they are scored, and the fit ends with the weights before the loss rose.
+    """
     rows = sequence_features(sequences).withColumn("label", F.col("is_fraud").cast("double"))
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+    learned = rows if validation is None else rows.where(~F.col(validation))
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(learned)
     net = MultilayerPerceptronClassifier(
-        layers=[width, *layers, 2], featuresCol="scaled", labelCol="label", maxIter=rounds, seed=seed,
+        layers=[width, *layers, 2], featuresCol="scaled", labelCol="label", maxIter=rounds if validation is None else step, seed=seed,
     )
-    return Pipeline(stages=[scaler, net]).fit(rows)
+    best = net.fit(scaler.transform(learned))
+    if validation is not None:
+        judged = scaler.transform(rows.where(validation))
+        loss = _log_loss(best, judged)
+        for _ in range(step, rounds, step):
+            later = net.setInitialWeights(best.weights).fit(scaler.transform(learned))
+            now = _log_loss(later, judged)
+            if not now < loss:
+                break
+            best, loss = later, now
+    return PipelineModel(stages=[scaler, best])
+
+
+def _log_loss(model, rows: DataFrame) -> float:
+    p = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    return model.transform(rows).agg(F.avg(-F.log(F.greatest(p, F.lit(1e-12))))).first()[0] or 0.0
 
 
 def sequence_scores(model: PipelineModel, sequences: DataFrame, output: str = "lstm") -> DataFrame:

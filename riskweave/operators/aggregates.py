@@ -116,15 +116,15 @@ def hourly_stats(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def rate_pivot(df: DataFrame, row: str, column: str, values: Sequence[str], flag: str = "is_fraud") -> DataFrame:
-    """One column per listed value, so no extra job has to find them; empty cells are null."""
-    cells = [
-        F.try_divide(
-            F.count_if((F.col(column) == v) & F.col(flag).cast("boolean")) * F.lit(100.0),
-            F.count_if(F.col(column) == v),
-        ).alias(v)
-        for v in values
-    ]
-    return df.groupBy(row).agg(*cells)
+    """One column per listed value and per other value that occurs (a missing one is `null`).
+
+    Cells are counted in long form first, so the values are found in a small table. Empty cells are null.
+    """
+    cells = df.groupBy(row, F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("_v")).agg(rate(flag).alias("_rate"))
+    wide = cells.groupBy(row).pivot("_v").agg(F.first("_rate"))
+    missing = {v: F.lit(None).cast("double") for v in values if v not in wide.columns}
+    others = [n for n in wide.columns if n != row and n not in values]
+    return wide.withColumns(missing).select(row, *values, *others)
 
 
 def merchant_ranking(df: DataFrame) -> DataFrame:
@@ -157,8 +157,8 @@ def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, names: Sequence[str], **sizes: int) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per column, in long form."""
-    values = _long(df, names).where(F.col("x").isNotNull())
+    """count, mean, std, min, exact quartiles and max per column, in long form; NaN counts as missing."""
+    values = _long(df, names).where(F.col("x").isNotNull() & ~F.isnan("x"))
     basic = values.groupBy("metric").agg(
         F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"), F.max("x").alias("max"),
@@ -170,12 +170,13 @@ def describe_numeric(df: DataFrame, names: Sequence[str], **sizes: int) -> DataF
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:
     """Equal-width bins over the whole column's range; the last one is closed on both sides.
 
-    A constant column falls into the middle bin.
+    A constant column falls into the middle bin. Null, NaN and infinite values are in no bin.
     """
+    df = df.where(c.is_finite(F.col(value)))
     limits = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     lo, hi, x = F.col("_lo"), F.col("_hi"), F.col(value)
     place = F.coalesce(F.floor((x - lo) * bins / F.nullif(hi - lo, F.lit(0.0))), F.lit(bins // 2))
-    placed = df.where(x.isNotNull()).crossJoin(F.broadcast(limits)).withColumn(
+    placed = df.crossJoin(F.broadcast(limits)).withColumn(
         "bin", F.least(place, F.lit(bins - 1)).cast("int")
     )
     return placed.groupBy("bin", *([by] if by else [])).agg(F.count("*").alias("count"))
@@ -252,8 +253,12 @@ def dashboard_metrics(df: DataFrame) -> DataFrame:
 
 
 def etl_batch_stats(df: DataFrame, sequence: str = "transaction_id", size: int = 100) -> DataFrame:
-    """Per batch of `size` consecutive records; the last, shorter batch is kept."""
-    return df.groupBy(F.floor(F.col(sequence) / size).alias("batch")).agg(
+    """Per batch of `size` consecutive records; the last, shorter batch is kept.
+
+    `sequence` is a number, or a text id whose digits are one (`TXN-0000123`); ids without
+    digits share the batch null.
+    """
+    return df.groupBy(F.floor(c.sequence_number(df, sequence) / size).alias("batch")).agg(
         F.count("*").alias("total"), fraud_count().alias("fraud"),
         (F.sum("risk_score") / F.count("risk_score")).alias("avg_risk"),
         F.sum("risk_score").alias("risk_sum"), F.count("risk_score").alias("scored"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,7 +33,8 @@ def _or_unknown(name: str) -> Column:
 
 
 def alert_payload(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Alert record of a transaction; the id depends on nothing but the transaction and its time."""
+    """Alert record of a transaction. alert_id is a short name for people, made of the transaction and
+    its time; joins and deduplication go by transaction_id."""
     stamp = F.concat(F.col("transaction_id").cast("string"), c.iso(F.col(ts)))
     kind = c.text_or_none(F.col("fraud_type"))
     return df.select(
@@ -83,11 +85,13 @@ def retained_alerts(alerts: DataFrame, as_of: Column, days: int = 7, created: st
 
 
 def acknowledge(alerts: DataFrame, acknowledged: DataFrame) -> DataFrame:
-    """Set the flag on alerts listed in `acknowledged` (column alert_id)."""
-    marks = acknowledged.select("alert_id").distinct().withColumn("_ack", F.lit(True))
-    return alerts.join(marks, "alert_id", "left").withColumn(
-        "acknowledged", F.coalesce("_ack", "acknowledged")
-    ).drop("_ack")
+    """Set the flag on alerts listed in `acknowledged` (column transaction_id).
+
+    An alert is known by its transaction: the short alert_id is for display and may clash.
+    """
+    marks = acknowledged.select("transaction_id").distinct().withColumn("_ack", F.lit(True))
+    marked = alerts.join(marks, "transaction_id", "left").withColumn("acknowledged", F.coalesce("_ack", "acknowledged"))
+    return marked.select(*alerts.columns)
 
 
 class AlertHandlers:
@@ -95,7 +99,7 @@ class AlertHandlers:
 
     def __init__(self) -> None:
         self.handlers: list[Callable[[DataFrame, int], None]] = []
-        self.errors: list[Exception] = []
+        self.errors: deque[Exception] = deque(maxlen=100)  # the latest
 
     def register(self, handler: Callable[[DataFrame, int], None]) -> None:
         self.handlers.append(handler)

@@ -69,13 +69,18 @@ def hourly_rate_aligned(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def grid_complete(df: DataFrame, row: str, column: str, rows: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Every row × column cell of two fixed domains, with zeros where no data fell."""
+    """Every row × column cell of the listed values, with zeros where no data fell, and every other
+    cell that occurs; missing values are cells of their own."""
     cells = df.groupBy(row, column).agg(F.count("*").alias("total"), F.count_if("is_fraud").alias("fraud"))
     spark = df.sparkSession
     grid = spark.range(1).select(F.explode(F.array(*[F.lit(r) for r in rows])).alias(row)).select(
         row, F.explode(F.array(*[F.lit(v) for v in columns])).alias(column)
     )
-    return grid.join(cells, [row, column], "left").na.fill(0, ["total", "fraud"])
+    found = cells.withColumnsRenamed({row: "_row", column: "_column"})
+    same = F.col(row).eqNullSafe(F.col("_row")) & F.col(column).eqNullSafe(F.col("_column"))
+    both = grid.withColumn("_listed", F.lit(True)).join(found, same, "full")
+    own = {n: F.when(F.col("_listed"), F.col(n)).otherwise(F.col(f)) for n, f in ((row, "_row"), (column, "_column"))}
+    return both.withColumns(own).drop("_listed", "_row", "_column").na.fill(0, ["total", "fraud"])
 
 
 def heatmap_cells(df: DataFrame, rows: Sequence[str], columns: Sequence[str]) -> DataFrame:

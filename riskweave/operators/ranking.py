@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.functions import columns as c
+from riskweave.functions.history import Measure, before
 
 
 def latest_transactions(df: DataFrame, limit: int = 50, ts: str = "ts") -> DataFrame:
@@ -28,6 +29,16 @@ def tail_rows(df: DataFrame, n: int, by: str = "transaction_id") -> DataFrame:
     return df.orderBy(F.desc(by)).limit(n)
 
 
+def placed(df: DataFrame, by: Column, then: list[str], **sizes: int) -> DataFrame:
+    """Adds `place`, 1 for the smallest `by`; `then` breaks ties and must do so fully.
+
+    Places are balanced running counts, so a sort of the whole table needs no task that sees it all.
+    """
+    rows = df.withColumns({"_all": F.lit(0), "_by": by, "_then": F.struct(*then)})
+    counted = before(rows, ["_all"], "_by", "_then", [Measure("_n", F.lit(1))], **sizes)
+    return counted.select(*df.columns, (F.col("_n") + 1).cast("int").alias("place"))
+
+
 def sample_rows(df: DataFrame, n: int, ident: str = "transaction_id", seed: int = 42) -> DataFrame:
     """Exactly `n` rows (all of them when there are fewer), chosen by a seeded hash of the id.
 

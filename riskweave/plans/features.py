@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.operators import aggregates, features as f
-from riskweave.plans.registry import query, txn
+from riskweave.plans.registry import money_sql, query, txn
 from riskweave.schemas import FEATURES, GEO_CROSS_BORDER
 from riskweave.sources.tables import transactions, user_regions
 
@@ -25,7 +25,7 @@ ROWS_BEFORE = "OVER (PARTITION BY user_id ORDER BY ts, transaction_id ROWS BETWE
 ORDERED = "OVER (PARTITION BY user_id ORDER BY ts, transaction_id)"
 
 GAP_SQL = f"coalesce(least(1.0::DOUBLE, (epoch_us(ts) - epoch_us(lag(ts) {ORDERED})) / 1000000 / 86400), 1.0::DOUBLE)"
-MEAN_SQL = f"CAST(sum(CAST(amount AS DECIMAL(18,2))) {BACK_30} AS DOUBLE) / nullif(count(*) {BACK_30}, 0)"
+MEAN_SQL = f"CAST(sum({money_sql('amount')}) {BACK_30} AS DOUBLE) / nullif(count({money_sql('amount')}) {BACK_30}, 0)"
 DEVICE_SQL = "CASE WHEN row_number() OVER (PARTITION BY user_id, device_id ORDER BY ts, transaction_id) = 1 THEN 0.8::DOUBLE ELSE 0.0::DOUBLE END"
 GEO_SQL = f"""CASE WHEN count(*) {ROWS_BEFORE} = 0 THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, sqrt(power(latitude - avg(latitude) {ROWS_BEFORE}, 2) + power(longitude - avg(longitude) {ROWS_BEFORE}, 2)) / 50) END"""
 SHARE_SQL = f"coalesce(count(*) {BACK_30_CHANNEL} / nullif(count(*) {BACK_30}, 0)::DOUBLE, 0.0::DOUBLE)"
@@ -69,7 +69,7 @@ def _(spark, d):
 
 
 @query("amount_vs_avg_7d", txn(f"""WITH h AS (SELECT *, count(*) {_range(7 * DAY_US)} AS n,
-  CAST(sum(CAST(amount AS DECIMAL(18,2))) {_range(7 * DAY_US)} AS DOUBLE) / nullif(count(*) {_range(7 * DAY_US)}, 0) AS mean FROM txn)
+  CAST(sum({money_sql('amount')}) {_range(7 * DAY_US)} AS DOUBLE) / nullif(count({money_sql('amount')}) {_range(7 * DAY_US)}, 0) AS mean FROM txn)
   SELECT transaction_id, round({DEVIATION_SQL}, 8) AS amount_vs_avg FROM h"""))
 def _(spark, d):
     return f.amount_vs_avg(lean(spark, d), days=7).select("transaction_id", F.round("amount_vs_avg_30d", 8).alias("amount_vs_avg"))

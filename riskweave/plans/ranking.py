@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from riskweave.functions import columns as c
 from riskweave.operators import aggregates, alerts, ranking as k
@@ -27,10 +27,10 @@ def _(spark, d):
 
 
 @query("find_alerts", txn("""SELECT transaction_id, merchant, risk_score FROM txn
-  WHERE is_fraud AND risk_score > 80 AND merchant = 'PayHub' ORDER BY ts DESC, transaction_id DESC LIMIT 100"""))
+  WHERE is_fraud AND risk_score > 80 AND merchant = 'merchant-5' ORDER BY ts DESC, transaction_id DESC LIMIT 100"""))
 def _(spark, d):
     made = alerts.alert_payload(alerts.alert_candidates(transactions(spark, d)))
-    return k.latest_alerts(made, F.col("merchant") == "PayHub", 100).select("transaction_id", "merchant", "risk_score")
+    return k.latest_alerts(made, F.col("merchant") == "merchant-5", 100).select("transaction_id", "merchant", "risk_score")
 
 
 @query("show_first", txn("SELECT transaction_id, user_id, amount FROM txn ORDER BY amount DESC, transaction_id LIMIT 20"))
@@ -39,10 +39,10 @@ def _(spark, d):
 
 
 @query("sort_values", txn("""SELECT user_id, merchant, links, CAST(row_number() OVER (ORDER BY links DESC, user_id, merchant) AS INTEGER) AS place FROM
-  (SELECT user_id, merchant, count(*) AS links FROM txn WHERE is_fraud GROUP BY ALL) ORDER BY place LIMIT 100"""))
+  (SELECT user_id, merchant, count(*) AS links FROM txn WHERE is_fraud GROUP BY ALL)"""))
 def _(spark, d):
-    edges = aggregates.entity_edges(lean(spark, d)).drop("max_risk").orderBy(F.desc("links"), "user_id", "merchant").limit(100)
-    return edges.withColumn("place", F.row_number().over(Window.orderBy(F.desc("links"), "user_id", "merchant")))
+    edges = aggregates.entity_edges(lean(spark, d)).drop("max_risk")
+    return k.placed(edges, -F.col("links"), ["user_id", "merchant"]).orderBy("place")
 
 
 @query("head_rows", txn("SELECT transaction_id, user_id, amount FROM txn ORDER BY transaction_id LIMIT 5"))

@@ -52,9 +52,13 @@ def iso_sql(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+def money_sql(amount: str) -> str:
+    return f"CAST(CASE WHEN isfinite(CAST({amount} AS DOUBLE)) THEN {amount} END AS DECIMAL(24,6))"
+
+
 def money_sum_sql(amount: str) -> str:
-    return f"CAST(sum(CAST({amount} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum({money_sql(amount)}) AS DOUBLE)"
 
 
 def money_avg_sql(amount: str) -> str:
-    return f"({money_sum_sql(amount)} / nullif(count({amount}), 0))"
+    return f"({money_sum_sql(amount)} / nullif(count({money_sql(amount)}), 0))"

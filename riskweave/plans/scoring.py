@@ -166,21 +166,38 @@ def _(spark, d):
     return learn.balance_weight(lean(spark, d))
 
 
-@query("stratified_split", txn("""SELECT transaction_id, is_fraud, CASE WHEN ('0x' || substr(md5('42:' || transaction_id), 1, 8))::BIGINT % 100 < 20
-  THEN 'test' ELSE 'train' END AS split FROM txn"""))
+SPLIT_SQL = """CASE WHEN row_number() OVER (PARTITION BY is_fraud ORDER BY ('0x' || substr(md5('42:' || transaction_id), 1, 8))::BIGINT, transaction_id)
+  <= floor(count(*) OVER (PARTITION BY is_fraud) * 20 / 100.0 + 0.5) THEN 'test' ELSE 'train' END"""
+
+
+@query("stratified_split", txn(f"SELECT transaction_id, is_fraud, {SPLIT_SQL} AS split FROM txn"))
 def _(spark, d):
     return learn.stratified_split(lean(spark, d)).select("transaction_id", "is_fraud", "split")
 
 
 def training_table(spark, d):
-    """The 12 features with label and split, computed once."""
+    """The 12 features with label, split and, within train, the part that decides when a fit stops."""
     rows = f.transaction_features(lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud", "user_id", "ts"])
-    return materialize(learn.stratified_split(rows))
+    split = learn.stratified_split(rows)
+    held = learn.stratified_split(split, test_percent=10, seed=43, names=("held", "fit"), output="_part")
+    return materialize(held.withColumn("validation", F.col("_part") == "held").drop("_part"))
+
 
+def fitted_boosted(rows):
+    return learn.fit_boosted(rows.where("split = 'train'"), positive_weight=None, validation="validation")
 
-# The registered fits use fewer and shallower trees than the function's defaults (300 of depth 8)
-# so that every query of the catalog runs in seconds.
-QUICK = {"rounds": 20, "depth": 5}
+
+def fitted_sequence(sequences):
+    return learn.fit_sequence(sequences.where("split = 'train'"), validation="validation")
+
+
+def all_scores(spark, d):
+    """Every row with the scores of the three models, each fitted on train rows only."""
+    rows = training_table(spark, d)
+    forest = IsolationForest.fit(rows.where("split = 'train'"), FEATURES)
+    sequences = materialize(f.sequence_window(rows, keep=["split", "validation"]))
+    late = learn.sequence_scores(fitted_sequence(sequences), sequences).select("transaction_id", "lstm")
+    return learn.boosted_scores(fitted_boosted(rows), forest.transform(rows)).join(late, "transaction_id", "left")
 
 
 @query("isolation_forest_scores")
@@ -200,37 +217,38 @@ def _(spark, d):
 @query("boosted_scores")
 def _(spark, d):
     rows = training_table(spark, d)
-    model = learn.fit_boosted(rows.where("split = 'train'"), positive_weight=None, **QUICK)
-    return learn.boosted_scores(model, rows).select(
+    return learn.boosted_scores(fitted_boosted(rows), rows).select(
         "transaction_id", "xgboost", (F.col("xgboost") > 0.5).cast("int").alias("predicted"))
 
 
 @query("feature_importance")
 def _(spark, d):
-    model = learn.fit_boosted(training_table(spark, d).where("split = 'train'"), **QUICK)
-    return learn.feature_importance(spark, model=model)
+    return learn.feature_importance(spark, model=fitted_boosted(training_table(spark, d)))
 
 
 @query("sequence_scores")
 def _(spark, d):
-    sequences = materialize(f.sequence_window(training_table(spark, d)))
-    return learn.sequence_scores(learn.fit_sequence(sequences), sequences).select("transaction_id", "lstm")
+    sequences = materialize(f.sequence_window(training_table(spark, d), keep=["split", "validation"]))
+    return learn.sequence_scores(fitted_sequence(sequences), sequences).select("transaction_id", "lstm")
 
 
 @query("ensemble_trained")
 def _(spark, d):
     """All three fitted models combined, with reasons."""
-    rows = training_table(spark, d)
-    train = rows.where("split = 'train'")
-    forest = IsolationForest.fit(train, FEATURES)
-    boosted = learn.fit_boosted(train, positive_weight=None, **QUICK)
-    sequences = materialize(f.sequence_window(rows))
-    late = learn.sequence_scores(learn.fit_sequence(sequences), sequences).select("transaction_id", "lstm")
-    scored = learn.boosted_scores(boosted, forest.transform(rows)).join(late, "transaction_id", "left")
-    combined = e.ensemble_score(scored).withColumn("factors", F.concat_ws(",", e.contributing_factors()))
+    combined = e.ensemble_score(all_scores(spark, d)).withColumn("factors", F.concat_ws(",", e.contributing_factors()))
     return combined.select("transaction_id", "split", "is_fraud", "fraud_probability", "is_fraud_predicted", "predicted_risk", "factors")
 
 
+@query("fitted_model_comparison")
+def _(spark, d):
+    """The fitted models and their combination, judged on the test rows."""
+    scored = e.ensemble_score(all_scores(spark, d)).where("split = 'test'")
+    models = ("isolation_forest", "xgboost", "lstm", "fraud_probability")
+    pairs = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("p")) for m in models])
+    long = scored.select(F.col("is_fraud").alias("label"), F.explode(pairs).alias("_m")).select("label", "_m.*")
+    return v.model_comparison(materialize(long.where("p IS NOT NULL")))
+
+
 @query("pca_2d")
 def _(spark, d):
     rows = training_table(spark, d)

@@ -106,7 +106,7 @@ _recent("recent_alerts_per_merchant", "merchant", 100, "is_fraud AND risk_score
 def _(spark, d):
     chosen = alerts.alert_candidates(lean(spark, d)).withColumn("region", F.lit(None).cast("string"))
     made = alerts.alert_payload(chosen)
-    confirmed = alerts.alert_payload(chosen.where("status = 'CONFIRMED'")).select("alert_id")
+    confirmed = chosen.where("status = 'CONFIRMED'").select("transaction_id")
     return alerts.acknowledge(made, confirmed).select("alert_id", "transaction_id", "acknowledged")
 
 

@@ -20,10 +20,14 @@ RUNTIME = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+_TUNED = "spark.riskweave.tuned"
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    for name, value in RUNTIME.items():
-        spark.conf.set(name, value)
+    """Sets `RUNTIME` once in a session; what its owner changes afterwards stays."""
+    if spark.conf.get(_TUNED, None) is None:
+        for name, value in {**RUNTIME, _TUNED: "true"}.items():
+            spark.conf.set(name, value)
     return spark
 
 
