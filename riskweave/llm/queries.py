@@ -67,4 +67,60 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup, op9_decontamination, op10_chat_format,
     )
 }
-ORACLES: dict[str, str] = {}
+# SQL for the queries that SQL can state; the others are compared with plain versions in the tests.
+_SPLIT = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+_WARC = """WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
+  r AS (SELECT *, sha1(h) AS d, min(page_id) OVER (PARTITION BY h) AS head FROM p)
+SELECT page_id, url, octet_length(encode(h))::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(d, 5 * (k // 4) + 1, 5))::BIGINT >> (15 - 5 * (k % 4))::BIGINT) & 31) + 1, 1) for k in range(32)], '') AS payload_digest,
+  CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> head THEN head END AS refers_to FROM r"""
+
+_PASSAGES = f"""WITH d AS (SELECT doc_id, {_SPLIT.format("coalesce(text, '')")} AS l FROM documents),
+  w AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS j FROM d),
+  g AS (SELECT doc_id, i, array_to_string(list_slice(l, i, i + 12), ' ') AS win FROM (SELECT *, unnest(range(1, len(l) - 11)) AS i FROM d WHERE len(l) >= 13)),
+  s AS (SELECT doc_id, i AS j, min(doc_id) OVER (PARTITION BY win) < doc_id AS dup FROM g),
+  c AS (SELECT doc_id, j, word, coalesce(bool_or(dup) OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), false) AS gone
+    FROM w LEFT JOIN s USING (doc_id, j)),
+  o AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n, string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, len(l)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN o USING (doc_id)"""
+
+_NEAR = f"""WITH RECURSIVE d AS (SELECT doc_id, {_SPLIT.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS l FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(l, i, i + 2), ' ') AS sh FROM (SELECT *, unnest(range(1, greatest(len(l) - 1, 2))) AS i FROM d WHERE len(l) > 0)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  b AS (SELECT a.doc_id AS x, c.doc_id AS y, count(*) AS k FROM s a JOIN s c ON a.sh = c.sh AND a.doc_id <> c.doc_id GROUP BY ALL),
+  e AS (SELECT x, y FROM b JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+  r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y),
+  o AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM o LEFT JOIN n USING (doc_id)"""
+
+_EXACT = """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW same AS (PARTITION BY t)"""
+
+_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')"
+_LEAKS = f"""WITH i AS (SELECT item_id, l, least(5, len(l)) AS k FROM (SELECT item_id, {_WORDS} AS l FROM benchmark) WHERE len(l) > 0),
+  q AS (SELECT DISTINCT item_id, k, array_to_string(list_slice(l, p, p + k - 1), ' ') AS sh FROM (SELECT *, unnest(range(1, len(l) - k + 2)) AS p FROM i)),
+  z AS (SELECT item_id, count(*) AS n FROM q GROUP BY item_id),
+  d AS (SELECT doc_id, {_WORDS} AS l FROM documents),
+  h AS (SELECT DISTINCT doc_id, k, array_to_string(list_slice(l, p, p + k - 1), ' ') AS sh
+    FROM (SELECT *, unnest(range(1, len(l) - k + 2)) AS p FROM d JOIN (SELECT DISTINCT k FROM i) ON len(l) >= k)),
+  m AS (SELECT doc_id, item_id, count(*) AS shared FROM h JOIN q USING (k, sh) GROUP BY ALL)
+SELECT doc_id, item_id, n AS item_shingles, shared, shared / n AS containment FROM m JOIN z USING (item_id) WHERE 10 * shared >= 8 * n"""
+
+_CHAT = r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+  f AS (SELECT *, length('<turn >' || '</turn>') + length(replace(replace(replace(role, '\', '\\'), '<', '\l'), '>', '\g'))
+    + length(replace(replace(text, '\', '\\'), '<', '\l')) AS chars FROM c),
+  o AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss, sum(chars)::BIGINT AS formatted_chars FROM f GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars, 0::BIGINT AS attachments, 0::BIGINT AS attachment_tokens FROM o"""
+
+ORACLES: dict[str, str] = {
+    "op1_warc": _WARC,
+    "op6_substring_dedup": _PASSAGES,
+    "op7_near_dedup": _NEAR,
+    "op8_exact_dedup": _EXACT,
+    "op9_decontamination": _LEAKS,
+    "op10_chat_format": _CHAT,
+}
