@@ -233,11 +233,11 @@ def _(spark, d):
 
 
 @query("transaction_search", txn("""SELECT transaction_id, user_id, merchant, status, risk_score FROM txn
-  WHERE status = 'REVIEWING' AND risk_score >= 72 AND (contains(upper(CAST(transaction_id AS VARCHAR)), 'PAY')
-    OR contains(upper(merchant), 'PAY') OR contains(upper(CAST(user_id AS VARCHAR)), 'PAY'))"""))
+  WHERE status = 'REVIEWING' AND risk_score >= 72 AND (contains(upper(CAST(transaction_id AS VARCHAR)), 'T-5')
+    OR contains(upper(merchant), 'T-5') OR contains(upper(CAST(user_id AS VARCHAR)), 'T-5'))"""))
 def _(spark, d):
     rows = transactions(spark, d, region=False)
-    return p.transaction_search(rows, "REVIEWING", "HIGH", "pay").select(
+    return p.transaction_search(rows, "REVIEWING", "HIGH", "t-5").select(
         "transaction_id", "user_id", "merchant", "status", "risk_score")
 
 
