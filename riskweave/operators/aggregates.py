@@ -230,26 +230,28 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
 def dashboard_metrics(df: DataFrame) -> DataFrame:
     """Totals plus fraud counts by type and by region as maps.
 
-    The maps are assembled from one grouped pass over (type, region); their size is the number of
-    types and regions, not of rows.
+    All come from one grouped pass over (type, region), whose cells, as many as there are pairs of
+    types and regions, are put together in one row.
     """
     cells = df.groupBy("fraud_type", "region").agg(
         F.count("*").alias("n"), fraud_count().alias("fraud"), F.sum("risk_score").alias("risk"),
         F.count("risk_score").alias("scored"),
     )
-    totals = cells.agg(
+    cell = F.struct(*[F.coalesce(n, F.lit("Unknown")).alias(n) for n in ("fraud_type", "region")], "fraud")
+    row = cells.agg(
         F.sum("n").alias("total_transactions"), F.sum("fraud").alias("total_fraud"),
         c.percent(F.sum("fraud"), F.sum("n"), 2).alias("fraud_rate"),
         (F.sum("risk") / F.sum("scored")).alias("avg_risk_score"),
+        F.collect_list(F.when(F.col("fraud") > 0, cell)).alias("_cells"),
     )
 
-    def counts(dim: str, name: str) -> DataFrame:
-        label = F.coalesce(F.col(dim), F.lit("Unknown")).alias("label")
-        grouped = cells.where("fraud > 0").groupBy(label).agg(F.sum("fraud").alias("n"))
-        return grouped.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "n")))).alias(name))
+    def counts(dim: str) -> Column:
+        names = F.array_sort(F.array_distinct(F.transform("_cells", lambda x: x[dim])))
+        of = lambda name: F.filter("_cells", lambda x: x[dim] == name)
+        sums = F.transform(names, lambda name: F.aggregate(of(name), F.lit(0).cast("long"), lambda n, x: n + x["fraud"]))
+        return F.map_from_arrays(names, sums)
 
-    by_type, by_region = counts("fraud_type", "fraud_by_type"), counts("region", "fraud_by_region")
-    return totals.crossJoin(F.broadcast(by_type)).crossJoin(F.broadcast(by_region))
+    return row.withColumns({"fraud_by_type": counts("fraud_type"), "fraud_by_region": counts("region")}).drop("_cells")
 
 
 def etl_batch_stats(df: DataFrame, sequence: str = "transaction_id", size: int = 100) -> DataFrame:

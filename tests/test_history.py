@@ -143,5 +143,8 @@ def test_percentiles_equal_numpy(spark, sizes):
     for g, vs in values.items():
         want = np.quantile(vs, [0, 0.5, 0.95, 1])
         assert [out[g][n] for n in ("p0", "p50", "p95", "p100")] == pytest.approx(want)
+    many = np.round(rng.lognormal(3, 2, size=30_000), 1)
+    large = spark.createDataFrame([(float(v),) for v in [*many, float("nan")]], "x double").repartition(5)
+    assert exact_percentiles(large, "x", {"a": 0.25, "b": 0.999}, **sizes).first()[:] == pytest.approx(tuple(np.quantile(many, [0.25, 0.999])))
     whole = exact_percentiles(df, "x", {"p": 0.9}, **sizes).first()["p"]
     assert whole == pytest.approx(np.quantile(np.concatenate(list(values.values())), 0.9))
