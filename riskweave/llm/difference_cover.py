@@ -27,10 +27,15 @@ from riskweave.llm.common import file_system, new_folder, stored, whole_text
 
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
-CHUNK_BYTES = 32 << 20
-BUCKET_ENTRIES = 2 << 20
+CHUNK_BYTES = 8 << 20
+BUCKET_ENTRIES = 1 << 20
 NONE = np.iinfo(np.int64).max  # a null doc_id: after all others
 
+# An anchor is packed as 5 bytes beside its bucket: a wrong match only makes a candidate. More data has
+# more buckets, so the share of wrong matches stays the same.
+_ANCHOR = np.dtype([("low", np.uint32), ("high", np.uint8)])
+_WINDOW = np.dtype([("a", np.uint64), ("b", np.uint32)])
+
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
@@ -83,8 +88,8 @@ class Chunk:
         return np.flatnonzero((np.cumsum(change)[:-1] > 0) & (self.left >= self.window))
 
     def window_keys(self, at: np.ndarray) -> np.ndarray:
-        """Two hashes of each window as one record, which sorts by the first."""
-        keys = np.empty(len(at), [("a", np.uint64), ("b", np.uint32)])
+        """Two hashes of each window."""
+        keys = np.empty(len(at), _WINDOW)
         keys["a"] = self.runs(at, self.window, 0xD6E8FEB86659FD93)
         keys["b"] = self.runs(at, self.window, 0xA0761D6478BD642F) >> np.uint64(32)
         return keys
@@ -106,6 +111,17 @@ class Chunk:
             yield doc_id, int(size), int(gone.sum()), b" ".join(words)
 
 
+def distinct_windows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in sorted order, and which of them each key is. Far faster than sorting records."""
+    a, b = np.ascontiguousarray(keys["a"]), np.ascontiguousarray(keys["b"])
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.r_[np.ones(min(1, len(a)), bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+    which = np.empty(len(a), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return keys[order[first]], which
+
+
 class ChunkAnchors:
     """The distinct anchors of a chunk in sorted order, and those the chunk itself shares."""
 
@@ -124,7 +140,7 @@ class ChunkWindows:
     def __init__(self, chunk: Chunk, shared: np.ndarray):
         self.at = chunk.candidates(shared)
         self.ids = chunk.ids[self.at]
-        self.distinct, self.which = np.unique(chunk.window_keys(self.at), return_inverse=True)
+        self.distinct, self.which = distinct_windows(chunk.window_keys(self.at))
         self.least = np.full(len(self.distinct), NONE, np.int64)
         np.minimum.at(self.least, self.which, self.ids)
 
@@ -142,12 +158,6 @@ def read_chunk(name: str, window: int) -> Chunk:
 
 # -- buckets ------------------------------------------------------------------------------------
 
-# An anchor is packed as 5 bytes beside its bucket: a wrong match only makes a candidate. More data has
-# more buckets, so the share of wrong matches stays the same.
-_ANCHOR = np.dtype([("low", np.uint32), ("high", np.uint8)])
-_WINDOW = np.dtype([("a", np.uint64), ("b", np.uint32)])
-
-
 def _bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Where each bucket begins in sorted hashes; buckets are equal ranges of the hash."""
     edges = (np.arange(1, buckets, dtype=object) * (1 << 64)) // buckets
@@ -202,7 +212,7 @@ def _meet_windows(bucket: pa.Table) -> pa.Table:
     """For each chunk and window of the bucket, whether another chunk has it in a smaller document."""
     entries = [np.frombuffer(x, _WINDOW) for x in bucket["entries"].to_pylist()]
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in bucket["ids"].to_pylist()])
-    distinct, which = np.unique(np.concatenate(entries), return_inverse=True)
+    distinct, which = distinct_windows(np.concatenate(entries))
     least = np.full(len(distinct), NONE, np.int64)
     np.minimum.at(least, which, ids)
     return _flags(bucket["chunk"].to_pylist(), [len(e) for e in entries], least[which] < ids, bucket["bucket"][0].as_py())
