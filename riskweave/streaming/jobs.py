@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.models.ensemble import batch_predict, fallback_score
+from riskweave.models.forest import IsolationForest
+from riskweave.models.learn import boosted_scores, sequence_scores
 from riskweave.operators.alerts import alert_candidates, alert_payload, predictor_alert_payload
 from riskweave.operators.aggregates import etl_batch_stats
-from riskweave.operators.features import transaction_features
-from riskweave.operators.joins import merchant_daily_counts
+from riskweave.operators.features import sequence_window, transaction_features
+from riskweave.operators.joins import merchant_daily_counts, with_user_stats
 from riskweave.operators.projections import enrich_transactions, etl_transform
-from riskweave.schemas import CROSS_BORDER_REGIONS
+from riskweave.schemas import CROSS_BORDER_REGIONS, TOPICS
 from riskweave.sources.stores import AlertStore, read_or_empty, stored_predictions, stored_transactions
 from riskweave.streaming.sinks import json_value_sink, table_sink
 
@@ -75,15 +78,66 @@ class UserHistory:
             target.option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/{name}")
 
 
-def batch_features(batch: DataFrame, batch_id: int, history: UserHistory, ts: str = "ts", **options) -> DataFrame:
-    """Features of a micro-batch as if it followed everything stored before it."""
+def batch_features(
+    batch: DataFrame, batch_id: int, history: UserHistory, ts: str = "ts", sequences: bool = False, **options
+) -> DataFrame:
+    """Features of a micro-batch as if it followed everything stored before it.
+
+    With `sequences` also the previous feature rows of the user, null where there are too few.
+    """
     past = history.rows_before(batch, batch_id, ts).withColumn("_new", F.lit(False))
     both = past.unionByName(batch.withColumn("_new", F.lit(True)))
     daily = history.merchant_days(batch, batch_id, ts)
-    rows = transaction_features(both, ts, merchant_daily=daily, keep=["user_id", "amount", "_new"], **options)
+    keep = ["user_id", "amount", "_new", *([ts, "is_fraud"] if sequences else [])]
+    rows = transaction_features(both, ts, merchant_daily=daily, keep=keep, **options)
+    if sequences:
+        known = sequence_window(rows, ts=ts, keep=["_new"]).where("_new").select("transaction_id", "sequence")
+        rows = rows.join(known, "transaction_id", "left").drop(ts, "is_fraud")
     return rows.where("_new").drop("_new")
 
 
+def fitted_scorer(forest: IsolationForest, boosted: PipelineModel, sequence: PipelineModel) -> Callable[[DataFrame], DataFrame]:
+    """Scores feature rows with their `sequence` by three fitted models, combined as in a batch.
+
+    Rows without a sequence are scored by the other two.
+    """
+
+    def score(rows: DataFrame) -> DataFrame:
+        some = rows.where("sequence IS NOT NULL").withColumn("is_fraud", F.lit(None).cast("boolean"))
+        late = sequence_scores(sequence, some).select("transaction_id", "lstm")
+        scored = boosted_scores(boosted, forest.transform(rows.drop("sequence")))
+        return batch_predict(scored.join(late, "transaction_id", "left"))
+
+    return score
+
+
+def topic_messages(batch: DataFrame, made: DataFrame, alerts: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """(topic, key, value): every prediction, with its user's totals when `stats` is given, and every
+    alert, both keyed by user so that a user's messages stay in order."""
+    users = batch.select(F.col("transaction_id").cast("string").alias("transaction_id"), "user_id")
+    predictions = made.join(users, "transaction_id")
+    predictions = predictions if stats is None else with_user_stats(predictions, stats)
+
+    def to(topic: str, rows: DataFrame) -> DataFrame:
+        value = F.to_json(F.struct(*rows.columns)).alias("value")
+        return rows.select(F.lit(TOPICS[topic]).alias("topic"), F.col("user_id").cast("string").alias("key"), value)
+
+    return to("predictions", predictions).unionByName(to("alerts", alerts))
+
+
+def topic_writer(target: str, kind: str = "kafka", **options: str) -> Callable[[DataFrame, int], None]:
+    """Writes the messages of a micro-batch to topics (`target` names the servers), or as files in their
+    place, where a repeated batch replaces its own folder."""
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        if kind == "kafka":
+            messages.write.format("kafka").option("kafka.bootstrap.servers", target).options(**options).save()
+        else:
+            messages.write.mode("overwrite").format(kind).save(f"{target}/batch={batch_id}")
+
+    return write
+
+
 def with_fallback(features: DataFrame) -> DataFrame:
     """Features kept next to the amount rule's decision."""
     return fallback_score(features).withColumnsRenamed({"is_fraud_predicted": "is_fraud", "predicted_risk": "risk_score"})
@@ -91,12 +145,14 @@ def with_fallback(features: DataFrame) -> DataFrame:
 
 def score_stream(
     df: DataFrame, history: UserHistory, predictions: str, alerts: AlertStore, checkpoint: str,
-    score: Callable[[DataFrame], DataFrame] = batch_predict, every: str | None = None, ts: str = "ts", **options,
+    score: Callable[[DataFrame], DataFrame] = batch_predict, every: str | None = None, ts: str = "ts",
+    publish: Callable[[DataFrame, int], None] | None = None, stats: DataFrame | None = None, **options,
 ) -> StreamingQuery:
-    """Features → prediction → predictions table and alert store, for each micro-batch.
+    """Features → prediction → predictions table, alert store and topics, for each micro-batch.
 
     `score` maps feature rows to predictions; the default combines model scores where the columns
-    exist and falls back to the amount rule.
+    exist and falls back to the amount rule, `fitted_scorer` uses fitted models (with
+    `sequences=True`). `publish` gets the `topic_messages` of each batch.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -107,7 +163,10 @@ def score_stream(
             stored = batch.sparkSession.read.schema(made.schema).parquet(f"{predictions}/batch={batch_id}")
             flagged = stored.where(F.col("is_fraud") | (F.col("risk_score") > 72)).select("transaction_id", F.col("risk_score").alias("_risk"))
             rows = batch.withColumn("transaction_id", F.col("transaction_id").cast("string")).join(flagged, "transaction_id")
-            alerts.append(predictor_alert_payload(rows.withColumn("risk_score", F.col("_risk")), ts))
+            raised = predictor_alert_payload(rows.withColumn("risk_score", F.col("_risk")), ts)
+            alerts.append(raised)
+            if publish is not None:
+                publish(topic_messages(batch, stored, raised, stats), batch_id)
             history.append(batch, batch_id, ts)
         finally:
             batch.unpersist()

@@ -5,10 +5,15 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.models import learn
+from riskweave.models.ensemble import batch_predict
+from riskweave.models.forest import IsolationForest
 from riskweave.operators import aggregates as a, alerts
-from riskweave.operators.features import transaction_features
+from riskweave.operators.features import sequence_window, transaction_features
+from riskweave.operators.joins import user_stats
 from riskweave.operators.projections import enrich_transactions
 from riskweave.schemas import ALERT, FEATURES, GEO_CROSS_BORDER, TOPICS
+from riskweave.session import materialize
 from riskweave.sources.stores import AlertStore
 from riskweave.sources.tables import transactions
 from riskweave.streaming import aggregates as w, jobs, sinks
@@ -134,6 +139,38 @@ def test_scores_over_micro_batches_equal_one_batch(spark, files, tmp_path, sizes
     assert store.read(spark.read.parquet(f"{tmp_path}/alerts").schema).count() == flagged > 0
 
 
+def test_fitted_models_on_a_stream_equal_the_batch(spark, files, tmp_path):
+    """Forest, trees and sequences over four micro-batches, with messages keyed by user."""
+    rows = spark.read.parquet(files)
+    table = materialize(transaction_features(rows, cross_border=GEO_CROSS_BORDER, keep=["is_fraud", "user_id", "ts"]))
+    sequences = materialize(sequence_window(table))
+    models = (
+        IsolationForest.fit(table, FEATURES, trees=20), learn.fit_boosted(table, rounds=5, depth=3), learn.fit_sequence(sequences, rounds=5),
+    )
+    late = learn.sequence_scores(models[2], sequences).select("transaction_id", "lstm")
+    scored = learn.boosted_scores(models[1], models[0].transform(table)).join(late, "transaction_id", "left")
+    want = {r["transaction_id"]: (r["fraud_probability"], r["risk_score"]) for r in batch_predict(scored).collect()}
+
+    query = jobs.score_stream(
+        live(spark, files), jobs.UserHistory(f"{tmp_path}/history"), f"{tmp_path}/made", AlertStore(spark, f"{tmp_path}/alerts"),
+        f"{tmp_path}/cp", score=jobs.fitted_scorer(*models), sequences=True, cross_border=GEO_CROSS_BORDER,
+        publish=jobs.topic_writer(f"{tmp_path}/topics", "parquet"), stats=user_stats(rows))
+    sinks.finish(query)
+    got = {r["transaction_id"]: (r["fraud_probability"], r["risk_score"]) for r in spark.read.parquet(f"{tmp_path}/made").collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i][0] - want[i][0]) <= 2e-4 and abs(got[i][1] - want[i][1]) <= 1 for i in want)
+
+    messages = spark.read.parquet(f"{tmp_path}/topics")
+    counts = {r["topic"]: r["count"] for r in messages.groupBy("topic").count().collect()}
+    assert counts[TOPICS["predictions"]] == len(want)
+    assert counts[TOPICS["alerts"]] == spark.read.parquet(f"{tmp_path}/alerts").count() > 0
+    users = {str(r["transaction_id"]): str(r["user_id"]) for r in rows.collect()}
+    value = F.from_json("value", "transaction_id string, user_txns long, message string")
+    for r in messages.select("topic", "key", value.alias("v")).select("topic", "key", "v.*").collect():
+        assert r["key"] == users[r["transaction_id"]]
+        assert r["user_txns"] > 0 if r["topic"] == TOPICS["predictions"] else r["message"].startswith("HIGH RISK: risk_score=")
+
+
 def test_a_replayed_batch_changes_nothing(spark, files, tmp_path):
     history = jobs.UserHistory(f"{tmp_path}/history")
     rows = spark.read.parquet(files)
