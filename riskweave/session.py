@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -49,8 +51,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (`spark.checkpoint.dir`).
 
-    Only a local session without one gets a temporary folder: a folder of one machine would be
-    lost with that machine on a cluster.
+    Only a local session without one gets a temporary folder, deleted when Python ends: a folder of
+    one machine would be lost with that machine on a cluster. There the folder's owner decides how
+    long its tables are kept.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -58,6 +61,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         path = tempfile.mkdtemp(prefix="riskweave-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
