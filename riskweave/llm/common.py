@@ -29,6 +29,17 @@ def stored(df: DataFrame, kind: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, longer where `df` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskweave.llm.common import stored, whole_text
+from riskweave.llm.common import stored, unused, whole_text
 
 KEYS = 1 << 32
 PROBES = 256
@@ -101,26 +101,27 @@ def sharded(docs: DataFrame, shards: int = 8, slice_bytes: int = SLICE_BYTES, to
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     slices = max(32, -(-total // (shards * slice_bytes)))
 
+    mixed, part, rank, start = unused(docs, "_mixed", "_slice", "_rank", "_start")
+
     def placed(df: DataFrame) -> DataFrame:
         shard = sum((F.when(F.col("text_crc32") >= b, 1).otherwise(0) for b in bounds), F.lit(0))
-        mixed = F.xxhash64("doc_id", "text_crc32")
-        return df.withColumn("shard", shard.cast("int")).withColumn("_mixed", mixed).withColumn(
-            "_slice", F.pmod(F.col("_mixed"), F.lit(slices)).cast("int")
+        return df.withColumn("shard", shard.cast("int")).withColumn(mixed, F.xxhash64("doc_id", "text_crc32")).withColumn(
+            part, F.pmod(F.col(mixed), F.lit(slices)).cast("int")
         )
 
     # shards x slices rows: one per 64 MB of text, 32 per shard at least.
-    running = Window.partitionBy("shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed(narrow).groupBy("shard", "_slice").agg(F.count("*").alias("_rows"))
-        .select("shard", "_slice", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_start"))
+        placed(narrow).groupBy("shard", part).agg(F.count("*").alias("rows"))
+        .select("shard", part, F.coalesce(F.sum("rows").over(running), F.lit(0)).alias(start))
     )
     full = docs.withColumn("size", text_size()).withColumn("text_crc32", text_crc())
-    order = Window.partitionBy("shard", "_slice").orderBy("_mixed", "doc_id", "text_crc32")
+    order = Window.partitionBy("shard", part).orderBy(mixed, "doc_id", "text_crc32")
     return (
         placed(full)
-        .withColumn("_rank", F.row_number().over(order))
-        .join(F.broadcast(starts), ["shard", "_slice"])
-        .select(*docs.columns, "size", "text_crc32", "shard", (F.col("_start") + F.col("_rank") - 1).alias("slot"))
+        .withColumn(rank, F.row_number().over(order))
+        .join(F.broadcast(starts), ["shard", part])
+        .select(*docs.columns, "size", "text_crc32", "shard", (F.col(start) + F.col(rank) - 1).alias("slot"))
     )
 
 

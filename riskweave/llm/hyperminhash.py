@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskweave.llm.common import stored, whole_text
+from riskweave.llm.common import stored, unused, whole_text
 from riskweave.llm.components import components
 
 BUCKET_BITS, MANTISSA_BITS = 8, 10
@@ -298,6 +298,6 @@ def near_duplicate_table(docs: DataFrame, k: int = 3, percent: int = 85) -> Data
 
 def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, with its columns. `docs` must be a stored table."""
-    stays = near_duplicates(docs, k, percent).where("kept").select(F.col("_row").alias("_stays"))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(stays, F.col("_row") == F.col("_stays"), "left_semi").select(*[numbered[c] for c in docs.columns])
+    (row,) = unused(docs, "_row")
+    stays = near_duplicates(docs, k, percent).where("kept").select(F.col("_row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(stays, row, "left_semi").select(*docs.columns)

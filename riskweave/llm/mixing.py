@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskweave.llm.common import stored, whole_text
+from riskweave.llm.common import stored, unused, whole_text
 
 ENTROPY_SHARE = 0.95  # target entropy, as a share of that of equal weights
 MOST_PASSES = 4.0  # how often a document may be repeated on average
@@ -167,6 +167,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     `docs` must be a stored table: its rows are known by their number in the scan.
     """
-    chosen = draws(docs, **options).select(F.col("_row").alias("_drawn"))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(chosen, F.col("_row") == F.col("_drawn")).select(*[numbered[c] for c in docs.columns])
+    (row,) = unused(docs, "_row")
+    chosen = draws(docs, **options).select(F.col("_row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(chosen, row).select(*docs.columns)

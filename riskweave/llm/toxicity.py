@@ -17,9 +17,9 @@ from typing import NamedTuple
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskweave.llm.common import stored
+from riskweave.llm.common import stored, unused
 
 THRESHOLD = 0.7
 SAMPLE_ROWS = 20_000  # labelled rows that the classifier is fitted on, at the most
@@ -317,22 +317,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> E
     return Evidence(weights, base, costs)
 
 
-def _scoring(handle, kept: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scoring(handle, kept: tuple[str, ...], output: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(handle.value)
         for batch in batches:
             score = pa.array([scorer.score(t) for t in batch["text"].to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), score], names=[*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), score], names=[*kept, output])
 
     return run
 
 
-def scores(docs: DataFrame, evidence: Evidence, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scores(docs: DataFrame, evidence: Evidence, keep: tuple[str, ...] = ("doc_id",), output: str = "score") -> DataFrame:
     """The columns `keep` of `docs` with a score; one scan, nothing is shuffled."""
     handle = docs.sparkSession.sparkContext.broadcast(evidence)
     read = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return read.mapInArrow(_scoring(handle, keep), f"{types}, score double")
+    schema = T.StructType([*docs.select(*keep).schema, T.StructField(output, T.DoubleType())])
+    return read.mapInArrow(_scoring(handle, keep, output), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -350,6 +350,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
-    plain = docs.withColumnRenamed("score", "_given_score") if "score" in docs.columns else docs
-    kept = scores(plain, fit(docs, labels), keep=tuple(plain.columns)).where(F.col("score") < threshold).drop("score")
-    return kept.withColumnRenamed("_given_score", "score") if "score" in docs.columns else kept
+    (score,) = unused(docs, "score")
+    return scores(docs, fit(docs, labels), tuple(docs.columns), score).where(F.col(score) < threshold).drop(score)

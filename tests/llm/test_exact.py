@@ -37,11 +37,11 @@ def test_no_documents(spark):
 
 
 def test_other_columns_may_have_any_name(spark):
-    docs = documents(spark).selectExpr("doc_id", "text", "lang AS level", "source AS name", "n_chars AS _row", "1 AS slot", "2 AS SHARD")
+    docs = documents(spark).selectExpr("doc_id", "text", "lang AS level", "source AS name", "n_chars AS _row", "1 AS slot", "2 AS SHARD", "doc_id AS _slice", "doc_id AS _rank")
     assert exact_duplicates(docs).count() == docs.count()
     out = sharded(docs)
-    assert out.columns == ["doc_id", "text", "level", "name", "_row", "size", "text_crc32", "shard", "slot"]
-    assert out.count() == docs.count()
+    assert out.columns == ["doc_id", "text", "level", "name", "_row", "_slice", "_rank", "size", "text_crc32", "shard", "slot"]
+    assert out.count() == docs.count() and out.where("_slice <> doc_id OR _rank <> doc_id").isEmpty()
 
 
 def test_shards_have_near_equal_bytes_and_gapless_slots(spark):

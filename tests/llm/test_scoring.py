@@ -165,7 +165,7 @@ def test_temperature_meets_its_targets():
 def test_draws_realise_the_weights(spark):
     rng = random.Random(5)
     rows = [(i, prose(i, rng.randint(1, 9)), rng.choice(["big"] * 20 + ["mid"] * 5 + ["small", None])) for i in range(1500)]
-    docs = saved(spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'x' AS mix_pass"))
+    docs = saved(spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'x' AS mix_pass", "7 AS _row"))
     tokens = Counter()
     for _, text, source in rows:
         tokens[source] += len(text.split())
@@ -184,7 +184,7 @@ def test_draws_realise_the_weights(spark):
             assert max(passes) - min(passes) <= 1 and max(passes) <= 5
         assert all({r["mix_pass"] for r in got if r["doc_id"] == i} == set(range(n)) for i, n in list(times.items())[:50])
     assert Counter(r["doc_id"] for r in mixed(docs).collect()) == Counter(r["doc_id"] for r in draws(docs).collect())
-    assert mixed(docs).columns == docs.columns
+    assert mixed(docs).columns == docs.columns and {r["_row"] for r in mixed(docs).collect()} == {7}
 
 
 def test_block_size_and_row_order_do_not_change_the_draw(spark):

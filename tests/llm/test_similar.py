@@ -60,9 +60,9 @@ def test_components_equal_all_pairs(spark, k, percent, monkeypatch):
 
 def test_one_row_of_each_group_stays(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, "only here"), (3, None), (4, "")]
-    docs = saved(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS kept", "7 AS _row_of"))
+    docs = saved(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS kept", "7 AS _row"))
     out = without_near_duplicates(docs)
-    assert out.columns == docs.columns
+    assert out.columns == docs.columns and {r["_row"] for r in out.collect()} == {7}
     assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect() if r["text"]) == [(0, "only here"), (1, "a b c d e f")]
     assert out.count() == 4
     assert near_duplicates(no_rows(spark)).count() == 0 and without_near_duplicates(no_rows(spark)).count() == 0
