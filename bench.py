@@ -28,7 +28,8 @@ HEADLINE = [
     "geo_anomaly", "device_match", "transaction_features", "sequence_window", "trailing_latency_100",
     "throughput_60s", "running_counters", "recent_per_user", "latest_transactions", "alerts_dedup",
     "metric_snapshot", "ensemble_score", "batch_predict", "classification_metrics", "roc_curve", "auc_roc",
-    "stream_sliding_region_channel", "stream_scores", "isolation_forest_scores",
+    "stream_sliding_region_channel", "stream_scores", "stream_features", "isolation_forest_scores",
+    "feature_matrix", "pca_2d", "boosted_scores", "sequence_scores",
 ]
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.functions import columns as c
 from riskweave.operators import projections as p
-from riskweave.plans.registry import iso_sql, query, txn
+from riskweave.plans.registry import iso_sql, money_avg_sql, query, txn
 from riskweave.plans.rows import ENRICH_SQL, json_messages
 from riskweave.plans.windows import (
     LABEL_SQL, METRICS, METRICS_SQL, RUNNING_SQL, SLIDING, SLIDING_SQL, TUMBLING, TUMBLING_SQL, flat,
@@ -124,14 +124,15 @@ def _(spark, d):
     return spark.read.parquet(f"{path}/out").select("transaction_id", "user_id", "amount")
 
 
-@query("stream_user_stats", txn("""SELECT transaction_id, n AS user_txns FROM txn JOIN (SELECT user_id, count(*) AS n FROM txn GROUP BY 1) USING (user_id)"""))
+@query("stream_user_stats", txn(f"""SELECT transaction_id, user_txns, user_avg_amount, user_frauds FROM txn JOIN (SELECT user_id, count(*) AS user_txns,
+  round({money_avg_sql('amount')}, 4) AS user_avg_amount, count(*) FILTER (WHERE is_fraud) AS user_frauds FROM txn GROUP BY 1) USING (user_id)"""))
 def _(spark, d):
     from riskweave.operators.joins import user_stats, with_user_stats
 
     path = fresh(spark)
     joined = with_user_stats(live(spark, d, region=False), user_stats(transactions(spark, d, region=False)))
     sinks.finish(sinks.table_sink(joined, f"{path}/out", f"{path}/checkpoint"))
-    return spark.read.parquet(f"{path}/out").select("transaction_id", "user_txns")
+    return spark.read.parquet(f"{path}/out").select("transaction_id", "user_txns", "user_avg_amount", "user_frauds")
 
 
 @query("stream_scores", txn(f"""SELECT transaction_id, least(1.0::DOUBLE, amount / 1000.0) AS fraud_probability FROM txn"""))
@@ -145,6 +146,20 @@ def _(spark, d):
     return made.select(F.col("transaction_id").cast("long").alias("transaction_id"), "fraud_probability")
 
 
+@query("stream_scored_alerts", txn("""SELECT CAST(transaction_id AS VARCHAR) AS alert_id, coalesce(fraud_type, 'Suspicious') AS fraud_type, merchant, risk AS risk_score,
+  'HIGH RISK: risk_score=' || risk || ' for ' || user_id AS message FROM (SELECT *, least(1.0::DOUBLE, amount / 1000.0) AS p,
+  least(99, CAST(trunc(least(1.0::DOUBLE, amount / 1000.0) * 100) AS INTEGER)) AS risk FROM txn) WHERE p > 0.5 OR risk > 72"""))
+def _(spark, d):
+    """What the scoring stream raises, as its messages to the alert topic say it."""
+    path = fresh(spark)
+    sinks.finish(jobs.score_stream(
+        live(spark, d), jobs.UserHistory(f"{path}/history"), f"{path}/predictions", AlertStore(spark, f"{path}/alerts"),
+        f"{path}/checkpoint", cross_border=GEO_CROSS_BORDER, publish=jobs.topic_writer(f"{path}/topics", "parquet")))
+    value = F.from_json("value", "alert_id string, fraud_type string, merchant string, risk_score int, message string")
+    sent = spark.read.parquet(f"{path}/topics").where(F.col("topic") == TOPICS["alerts"])
+    return sent.select(value.alias("v")).select("v.*")
+
+
 @query("stream_features", txn(f"""{FEATURES_SQL} SELECT transaction_id, {", ".join(f"round({n}, 6) AS {n}" for n in FEATURES)} FROM feats"""))
 def _(spark, d):
     path = fresh(spark)
