@@ -23,6 +23,7 @@ from riskweave.llm.common import stored, unused
 
 THRESHOLD = 0.7
 SAMPLE_ROWS = 20_000  # labelled rows that the classifier is fitted on, at the most
+RECOUNTS = 6  # rounds at the most; usually two or three change something
 LEAST_TEXTS = 4  # toxic texts a feature must occur in to be looked at
 TOXIC_SHARE = 0.3  # weight of the labelled toxic texts in the character model
 
@@ -198,6 +199,23 @@ def chosen(counts: Iterable[tuple[str, int, int]], toxic: int, clean: int, tried
     return {f: w for f, w in kept.items() if w >= least}
 
 
+def recounted(weights: dict[str, float], strongest: dict[tuple[str, int], int], least: float = 0.5) -> dict[str, float]:
+    """Weights after a look at the texts, toxic (1) and clean (0), where a feature is the strongest of a word.
+
+    A feature that is so in clean texts is worth its share there; others keep their weight.
+    """
+    out = {}
+    for feature, weight in weights.items():
+        toxic, clean = (strongest.get((feature, label), 0) for label in (1, 0))
+        weight = min(weight, lower_bound(toxic, toxic + clean)) if clean else weight
+        if weight >= least:
+            out[feature] = weight
+    return out
+
+
+NOTHING = (0.0, 0, "")
+
+
 class Scorer:
     """Scores texts: 1 - (1 - base) * product of (1 - evidence of each distinct restored word)."""
 
@@ -205,19 +223,23 @@ class Scorer:
         self.decoder, self.base = Decoder(evidence.costs), evidence.base
         self.automaton = ahocorasick.Automaton()
         for feature, weight in evidence.weights.items():
-            self.automaton.add_word(feature, weight)
+            self.automaton.add_word(feature, (weight, -len(feature), feature))
         if evidence.weights:
             self.automaton.make_automaton()
         self.any, self.known, self.remembered = bool(evidence.weights), {}, remembered
 
-    def word(self, observed: str) -> float:
+    def best(self, observed: str) -> tuple[float, int, str]:
+        """The strongest feature of a word: (weight, minus its length, feature), of equal ones the shortest."""
         if observed not in self.known:
             if len(self.known) >= self.remembered:
                 self.known.clear()
             marked = f"^{self.decoder.restored(observed)}$"
-            self.known[observed] = max((w for _, w in self.automaton.iter(marked)), default=0.0) if self.any else 0.0
+            self.known[observed] = max((x for _, x in self.automaton.iter(marked)), default=NOTHING) if self.any else NOTHING
         return self.known[observed]
 
+    def word(self, observed: str) -> float:
+        return self.best(observed)[0]
+
     def score(self, text: str | None) -> float:
         clean = 1 - self.base
         for word in sorted(self.decoder.words(text or "")):
@@ -284,12 +306,31 @@ def _feature_rows(costs, among) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     return run
 
 
+def _strongest_rows(handle) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(feature, toxic, n): texts in which the feature is the strongest of some word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, counts = Scorer(handle.value), Counter()
+        for batch in batches:
+            for toxic, text in zip(batch["toxic"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                counts.update((f, toxic) for f in {scorer.best(w)[2] for w in scorer.decoder.words(text or "")} if f)
+        names, labels = zip(*counts, strict=True) if counts else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), pa.array(labels, pa.int32()), pa.array(list(counts.values()), pa.int64())],
+            names=["feature", "toxic", "n"],
+        )
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Evidence:
     """The character model of all of `docs`, and evidence from the labelled sample.
 
     Of copies and near copies in the sample one counts, else every word of a text that was copied often
-    would look like evidence. The features that reach the driver are those of at most `sample_rows`
-    texts that occur in several toxic ones.
+    would look like evidence. A part of a marked word, such as its middle, is found in unmarked words
+    too and owes its share to the whole word; so features are counted again where they are the strongest
+    of a word, and judged by that. The features that reach the driver are those of at most
+    `sample_rows` texts that occur in several toxic ones.
     """
     spark = docs.sparkSession
     sample = training_rows(docs, labels, sample_rows)
@@ -309,7 +350,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> E
     in_toxic = stored(having(1), "toxicity-features")
     candidates = {r["feature"]: r["n"] for r in in_toxic.where(F.col("n") >= LEAST_TEXTS).collect()}
     in_clean = {r["feature"]: r["n"] for r in having(0, spark.sparkContext.broadcast(set(candidates))).collect()}
-    weights = chosen(((f, n, in_clean.get(f, 0)) for f, n in candidates.items()), n_toxic, n_clean, in_toxic.count())
+    tried = in_toxic.count()
+    weights = chosen(((f, n, in_clean.get(f, 0)) for f, n in candidates.items()), n_toxic, n_clean, tried)
+    for _ in range(RECOUNTS if weights else 0):
+        strongest = spark.sparkContext.broadcast(Evidence(weights, 0.0, costs))
+        rows = distinct.repartition(max(1, spark.sparkContext.defaultParallelism * 2))
+        made = rows.mapInArrow(_strongest_rows(strongest), "feature string, toxic int, n long")
+        again = {(r["feature"], r["toxic"]): r["n"] for r in made.groupBy("feature", "toxic").agg(F.sum("n").alias("n")).collect()}
+        judged = recounted(weights, again)
+        if judged == weights:
+            break
+        weights = judged
     evidence = Evidence(weights, 0.0, costs)
     unmarked = scores(distinct.withColumn("doc_id", F.lit(0)), evidence, keep=("toxic",)).where("score = 0")
     left = unmarked.agg(F.count("*").alias("n"), F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("toxic")).first()
