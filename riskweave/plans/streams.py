@@ -27,7 +27,7 @@ from riskweave.streaming.sources import is_folder, stream_source
 
 
 # Bounds a micro-batch, so that a long table is read in several.
-BATCH = {"maxBytesPerTrigger": "16g"}
+BATCH = {"maxBytesPerTrigger": str(16 << 30)}
 
 
 def live(spark: SparkSession, folder: str, region: bool = True) -> DataFrame:
