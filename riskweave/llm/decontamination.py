@@ -36,6 +36,15 @@ def shingles_of(words: list[str], k: int) -> set[str]:
     return {" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
 
 
+def shingle_hashes(words: list[str], k: int) -> np.ndarray:
+    """A hash per run of `k` words, put together from the hashes of the words."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    out = np.full(max(0, len(h) - k + 1), k, np.uint64)
+    for j in range(k):
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[j : len(h) - k + 1 + j]
+    return (out ^ (out >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+
+
 class ItemIndex:
     """Minimal shingle hashes of benchmark items, one table per shingle length and size class."""
 
@@ -52,7 +61,7 @@ class ItemIndex:
             number, size = len(self.shingles), len(shingles)
             self.shingles.append((item_id, length, shingles))
             needed = size - math.ceil(containment * size - 1e-9) + 1
-            for h in sorted(map(xxhash.xxh64_intdigest, shingles))[:needed]:
+            for h in np.unique(shingle_hashes(words, length))[:needed].tolist():
                 keys[length, size.bit_length()][h].append(number)
         self.classes = [
             (length, math.ceil(containment * (1 << (bits - 1))), np.array(sorted(table), np.uint64), dict(table))
@@ -65,14 +74,14 @@ class ItemIndex:
         for length in sorted({c[0] for c in self.classes}):
             if len(words) < length:
                 continue
-            own = list(shingles_of(words, length))
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, own), np.uint64, len(own))
+            hashes = shingle_hashes(words, length)
             candidates: set[int] = set()
             for of_length, least, sorted_keys, table in self.classes:
-                if of_length == length and len(own) >= least:
-                    for h in hashes[np.isin(hashes, sorted_keys)].tolist():
+                if of_length == length and len(hashes) >= least:
+                    place = np.minimum(np.searchsorted(sorted_keys, hashes), len(sorted_keys) - 1)
+                    for h in hashes[sorted_keys[place] == hashes].tolist():
                         candidates.update(table[h])
-            have = set(own) if candidates else set()
+            have = shingles_of(words, length) if candidates else set()
             for number in sorted(candidates):
                 item_id, _, shingles = self.shingles[number]
                 shared = len(shingles & have)
