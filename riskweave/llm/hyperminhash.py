@@ -5,15 +5,17 @@ hash in two bytes: the count of its leading zeros and the ten bits behind the fi
 registers find candidates, the share of equal registers, corrected for accidental equality, estimates
 the Jaccard similarity, and pairs that may pass are confirmed on their full sets.
 
-No step makes all pairs of a group. Equal sets are one node from the start. In each band's bucket every
-node meets the smallest one only; what resembles that centre forms a group, which is cut into blocks that
-all hold the centre. Blocks are compared inside, and blocks of a group only where it is still apart.
+Equal sets are one node from the start. In each band's bucket every node meets a centre; what resembles it
+forms a group, which is cut into blocks that all hold the centre. Blocks are compared inside, and blocks of a
+group only where it is still apart. Only nodes so close to the centre that all their partners are in its
+group leave the bucket; the others meet further centres until the bucket is empty.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,11 @@ from riskweave.llm.components import components
 BUCKET_BITS, MANTISSA_BITS = 8, 10
 REGISTERS = 1 << BUCKET_BITS
 BAND_ROWS, BANDS = 6, 42  # at a similarity of 0.85 a pair shares no band with a chance of 2e-9
-LOOSE = 0.45  # estimates below cannot be two links away from a link
+LOOSE = 0.35  # estimates below are outside a centre's group
 MARGIN = 0.1  # an estimate of 256 registers is off by more with a chance of 1e-5
 BLOCK_ROWS = 512
+BUCKET_ROWS = 4096  # larger buckets meet single centres first, then in pairs of blocks of this size
+ROUNDS = 8
 
 SKETCH = "_row long, n_shingles long, signature binary, registers binary"
 
@@ -139,14 +143,77 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
-def _resembling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate links whose estimate is not below `LOOSE`."""
-    for batch in batches:
-        if batch.num_rows:
-            likely = estimate(
-                _matrix(batch["registers"]), _matrix(batch["_other"]), batch["n_shingles"].to_numpy(), batch["_n"].to_numpy()
-            ) >= LOOSE
-            yield batch.select(["centre", "node"]).filter(pa.array(likely))
+def tight(percent: int) -> float:
+    """From this estimate on a node's partners are all in its centre's group.
+
+    1 - estimate is a distance but for the correction, which is below 0.001: it is the chance that the
+    first full registers of two documents differ in a random order. A pair looked at is apart by
+    1 - percent / 100 + MARGIN at most, so both resemble a centre that one of them is this near to.
+    """
+    return LOOSE + 1 - percent / 100 + MARGIN + 0.001
+
+
+def _resembling(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs whose estimate is not below `LOOSE`, and whether the node is so near that it needs no other centre."""
+    bar = tight(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                likely = estimate(
+                    _matrix(batch["registers"]), _matrix(batch["_other"]), batch["n_shingles"].to_numpy(), batch["_n"].to_numpy()
+                )
+                pairs = pa.RecordBatch.from_arrays([batch["centre"], batch["node"], pa.array(likely >= bar)], names=["centre", "node", "tight"])
+                yield pairs.filter(pa.array(likely >= LOOSE))
+
+    return run
+
+
+def _meeting(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(centre, node) of whole buckets, whose rows follow each other: the first node that is left is the next centre."""
+    bar = tight(percent)
+
+    def pairs(nodes: np.ndarray, sizes: np.ndarray, regs: np.ndarray) -> tuple[list, list]:
+        centres, others = [], []
+        while len(nodes) > 1:
+            likely = estimate(regs[1:], regs[:1], sizes[1:], sizes[0])
+            met = nodes[1:][likely >= LOOSE]
+            centres += [nodes[0]] * len(met)
+            others += met.tolist()
+            left = 1 + np.flatnonzero(likely < bar)
+            nodes, sizes, regs = nodes[left], sizes[left], regs[left]
+        return centres, others
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        empty = pa.table({"centre": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})
+
+        def met() -> tuple[list, list]:
+            nodes, sizes = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            return pairs(nodes, sizes, np.concatenate([h[2] for h in held]))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, units = batch["key"].to_numpy(), batch["unit"].to_numpy()
+            nodes, sizes, regs = batch["node"].to_numpy(), batch["n_shingles"].to_numpy(), _matrix(batch["registers"])
+            starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (units[1:] != units[:-1])])
+            centres, others = [], []
+            for start, end in zip(starts, np.r_[starts[1:], len(keys)], strict=True):
+                now = (keys[start], units[start])
+                if held and now != key:
+                    c, o = met()
+                    centres += c
+                    others += o
+                    held = []
+                key = now
+                held.append((nodes[start:end], sizes[start:end], regs[start:end]))
+            yield pa.RecordBatch.from_arrays([pa.array(centres, pa.int64()), pa.array(others, pa.int64())], schema=empty.schema)
+        if held:
+            c, o = met()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(o, pa.int64())], schema=empty.schema)
+
+    return run
 
 
 def _packing(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -248,18 +315,50 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     )
 
 
-def _links(rows: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) that connect what belongs together."""
-    bands = nodes.select("_row", "registers").mapInArrow(_banding, "key long, node long")
-    centres = bands.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
-    candidates = bands.join(centres, "key").where("node <> centre").select("centre", "node").distinct()
+def _groups(nodes: DataFrame, percent: int) -> DataFrame:
+    """(centre, node): any two nodes that share a bucket and may be linked are in one group or are such a pair.
+
+    The first centre of a bucket is its smallest node. Whoever is not `tight` to it stays: a bucket of at most
+    `BUCKET_ROWS` such nodes is gone through in a task, a larger one meets more centres drawn by hash, and after
+    `ROUNDS` of these its blocks meet in pairs, which is quadratic where thousands of nodes of a bucket are all unlike.
+    """
     other = nodes.select(F.col("_row").alias("centre"), F.col("registers").alias("_other"), F.col("n_shingles").alias("_n"))
-    near = (
-        candidates.join(nodes.withColumnRenamed("_row", "node"), "node").join(other, "centre")
-        .select("centre", "node", "registers", "_other", "n_shingles", "_n")
-    )
-    near = stored(near.mapInArrow(_resembling, "centre long, node long"), "candidates")
+    named = nodes.withColumnRenamed("_row", "node")
+    waiting, found, small = nodes.select("_row", "registers").mapInArrow(_banding, "key long, node long"), [], []
+    for turn in range(ROUNDS):
+        centre = F.min_by("node", F.xxhash64("node", F.lit(turn))) if turn else F.min("node")
+        centres = waiting.groupBy("key").agg(centre.alias("centre"), F.count("*").alias("n")).where("n > 1")
+        met = stored(waiting.join(centres, "key").where("node <> centre").select("key", "centre", "node", "n"), "buckets")
+        ready = met.select("centre", "node").distinct().join(named, "node").join(other, "centre")
+        ready = ready.select("centre", "node", "registers", "_other", "n_shingles", "_n")
+        pairs = stored(ready.mapInArrow(_resembling(percent), "centre long, node long, tight boolean"), "candidates")
+        found.append(pairs.select("centre", "node"))
+        left = met.where("n > 2").join(pairs.where("tight"), ["centre", "node"], "left_anti").select("key", "node")
+        left = left.join(left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key")
+        left = stored(left.select("key", "node", "n"), "waiting")
+        small.append(left.where(F.col("n") <= BUCKET_ROWS))
+        waiting = left.where(F.col("n") > BUCKET_ROWS)
+        if waiting.isEmpty():
+            break
+        if turn == ROUNDS - 1:
+            small.append(waiting)
+        waiting = waiting.select("key", "node")
+
+    left = reduce(DataFrame.union, small)
+    blocks = F.ceil(F.col("n") / BUCKET_ROWS).cast("int")
+    left = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # A node of a bucket of several blocks is in a unit with each other block.
+    left = left.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("blocks = 1 OR to <> block")
+    unit = F.least("block", "to") * F.col("blocks") + F.greatest("block", "to")
+    units = left.select("key", unit.cast("long").alias("unit"), "node").join(named, "node").repartition("key", "unit")
+    units = units.sortWithinPartitions("key", "unit", "node").select("key", "unit", "node", "n_shingles", "registers")
+    found.append(units.mapInArrow(_meeting(percent), "centre long, node long"))
+    return stored(reduce(DataFrame.union, found).distinct(), "near")
 
+
+def _links(rows: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Confirmed links (a, b) that connect what belongs together."""
+    near = _groups(nodes, percent)
     groups = near.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     home = near.join(groups, "centre").select("centre", "node", block.alias("block"), "blocks", F.lit(False).alias("visitor"))

@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import awkward_texts, by_id, changed, documents, no_rows, prose, saved
 
@@ -58,6 +59,27 @@ def test_components_equal_all_pairs(spark, k, percent, monkeypatch):
         assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+@pytest.mark.parametrize("bucket, rounds", [(4096, 8), (20, 3), (4, 1)])
+def test_no_centre_hides_a_pair_of_its_bucket(spark, monkeypatch, bucket, rounds):
+    """One bucket of unlike texts, of pages of one template, and of pairs and a crowd among them."""
+
+    def one_bucket(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([1] * batch.num_rows, pa.int64()), batch["_row"]], names=["key", "node"])
+
+    template = prose(50, 60)
+    pages = [f"{template} {prose(60 + i, 20 + 3 * (i % 20))}" for i in range(60)]
+    pairs = [t for i in range(0, 60, 5) for t in (pages[i], changed(pages[i], 700 + i, 1 + i % 3))]
+    crowd = [changed(prose(200, 150), 600 + i, 1 + i % 6) for i in range(30)]
+    docs = documents(spark, [prose(1, 90), prose(2, 90), *pages, *pairs, prose(3, 90), *crowd])
+    plain = plain_components({r["doc_id"]: r["text"] for r in docs.collect()}, 3, 85)
+    monkeypatch.setattr(hmh, "_banding", one_bucket)
+    monkeypatch.setattr(hmh, "BUCKET_ROWS", bucket, raising=False)
+    monkeypatch.setattr(hmh, "ROUNDS", rounds, raising=False)
+    got = by_id(near_duplicate_table(docs))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == plain
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, "only here"), (3, None), (4, "")]
     docs = saved(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS kept", "7 AS _row"))
