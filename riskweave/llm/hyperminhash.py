@@ -29,6 +29,7 @@ BUCKET_BITS, MANTISSA_BITS = 8, 10
 REGISTERS = 1 << BUCKET_BITS
 BAND_ROWS, BANDS = 6, 42  # at a similarity of 0.85 a pair shares no band with a chance of 2e-9
 LOOSE = 0.35  # estimates below are outside a centre's group
+SMALL = 32  # registers of sets up to this size may be few enough for one collision to matter
 MARGIN = 0.1  # an estimate of 256 registers is off by more with a chance of 1e-5
 BLOCK_ROWS = 512
 BUCKET_ROWS = 4096  # larger buckets meet single centres first, then in pairs of blocks of this size
@@ -75,10 +76,15 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 _DETOURS = np.random.default_rng(7).integers(0, REGISTERS, (64, REGISTERS))
+_ORDERS = np.random.default_rng(8).permuted(np.tile(np.arange(REGISTERS), (REGISTERS, 1)), axis=1)
 
 
 def densified(regs: np.ndarray) -> np.ndarray:
-    """Empty registers take the value of the first full one on a fixed walk, the same walk for all documents."""
+    """Empty registers take the value of the first full one on a fixed walk, the same walk for all documents.
+
+    A walk ends with an order of all registers of its own, so it finds a full one in the smallest set, and two
+    sets that differ in few registers mostly end at the same one, however unequal their sizes.
+    """
     out = regs.copy()
     for step in _DETOURS:
         empty = np.flatnonzero(out == 0)
@@ -87,7 +93,8 @@ def densified(regs: np.ndarray) -> np.ndarray:
         out[empty] = regs[step[empty]]
     empty = np.flatnonzero(out == 0)
     full = np.flatnonzero(regs)
-    out[empty] = regs[full[empty % len(full)]] if len(full) else 0
+    if len(empty) and len(full):
+        out[empty] = regs[full[_ORDERS[empty][:, full].argmin(1)]]
     return out
 
 
@@ -270,7 +277,8 @@ def _comparing(percent: int, inside: bool) -> Callable[[pa.Table], pa.Table]:
             # Home rows meet later home rows if `inside`; visitors meet all home rows.
             others = slice(0, homes) if visitor[i] else slice(at + 1, homes if inside else at + 1)
             likely = estimate(regs[others], regs[at][None], sizes_of[others], sizes_of[at])
-            for near in np.flatnonzero(likely >= percent / 100 - MARGIN):
+            bar = np.where(np.maximum(sizes_of[others], sizes_of[at]) <= SMALL, LOOSE, percent / 100 - MARGIN)
+            for near in np.flatnonzero(likely >= bar):
                 j = order[near + others.start]
                 if forest.root(i) != forest.root(j) and linked(sets[i], sets[j], percent):
                     forest.join(i, j)

@@ -112,6 +112,25 @@ def test_registers_hold_zeros_and_mantissa():
     assert (hmh.densified(regs) == regs[5]).all()
 
 
+@pytest.mark.parametrize("few, many", [(4, 5), (5, 6), (6, 7), (8, 10), (1, 1)])
+def test_small_sets_share_a_band(few, many):
+    rng, apart = np.random.default_rng(few), 0
+    for _ in range(4000):
+        hashes = rng.integers(0, 2**64, many, np.uint64)
+        a, b = (hmh.densified(hmh.registers(np.sort(h))).reshape(-1) for h in (hashes, hashes[:few]))
+        bands = [x[: hmh.BANDS * hmh.BAND_ROWS].reshape(hmh.BANDS, hmh.BAND_ROWS) for x in (a, b)]
+        apart += not (bands[0] == bands[1]).all(1).any()
+    assert apart <= 1
+
+
+def test_few_registers_do_not_hide_a_small_pair():
+    """Of five shingles two times two fall into one register: the estimate is 2 / 3, the similarity 4 / 5."""
+    hashes = np.array([(1 << 56) + 5, (1 << 56) + 9, (2 << 56) + 5, (2 << 56) + 9, (3 << 56) + 5], np.uint64)
+    sets = [hashes.tobytes(), hashes[:4].tobytes()]
+    block = pa.table({"node": [1, 2], "visitor": [False, False], "label": [1, 2], "hashes": sets})
+    assert hmh._comparing(80, True)(block).to_pylist() == [{"a": 1, "b": 2}]
+
+
 def test_components_of_chains_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 50)] + [(2000 + i, 2000 + (i + 1) % 9) for i in range(9)] + [(5, 5)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
