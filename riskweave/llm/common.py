@@ -24,9 +24,20 @@ def new_folder(spark: SparkSession, kind: str) -> str:
 
 def stored(df: DataFrame, kind: str = "table") -> DataFrame:
     """`df` written in the shared folder and read back: cuts the plan and survives lost executors."""
+    return stored_at(df, kind)[0]
+
+
+def stored_at(df: DataFrame, kind: str = "table") -> tuple[DataFrame, str]:
+    """As `stored`, with the table's place, for a table that a later one will replace."""
     path = new_folder(df.sparkSession, kind)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of this run that no plan reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

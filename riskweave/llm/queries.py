@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.llm import (
-    block_naming, chat_format, decontamination, difference_cover, histogram_shards, hyperminhash, mixing, token_counts,
-    toxicity, warc,
+    block_naming, chat_format, decontamination, difference_cover, histogram_shards, hyperminhash, middle_frames, mixing, packing,
+    token_counts, toxicity, vector_codes, warc,
 )
 from riskweave.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+PACKING_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,11 +61,25 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.conversation_digests(chat_format.formatted_turns(given.union(extra)))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.code_table(table(spark, folder, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle_frames.fim_table(table(spark, folder, "documents"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path(PACKING_TOKENIZER)).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc, op2_mixing, op3_toxicity, op4_sharding, op5_token_counts, op6_substring_dedup, op7_near_dedup,
-        op8_exact_dedup, op9_decontamination, op10_chat_format,
+        op8_exact_dedup, op9_decontamination, op10_chat_format, op11_vector_codes, op12_fill_in_middle, op13_packing,
     )
 }
 # SQL for the queries that SQL can state; the others are compared with plain versions in the tests.
@@ -116,6 +131,40 @@ _CHAT = r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesc
     coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss, sum(chars)::BIGINT AS formatted_chars FROM f GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars, 0::BIGINT AS attachments, 0::BIGINT AS attachment_tokens FROM o"""
 
+# Two rounds of nearest entries and floored means, then the final entries; d * 64 + e orders by distance, then entry.
+def _assigned(book: str) -> str:
+    distance = " + ".join(f"(x[{j}] - y[{j}]) * (x[{j}] - y[{j}])" for j in range(1, 5))
+    return f"SELECT vec_id, label, s, any_value(x) AS x, min(({distance}) * 64 + e) AS best FROM p JOIN {book} USING (s) GROUP BY vec_id, label, s"
+
+
+def _moved(book: str, assigned: str) -> str:
+    means = ", ".join(f"floor(sum(x[{j}])::DOUBLE / count(*))::BIGINT" for j in range(1, 5))
+    return f"""SELECT s, e, coalesce(m, y) AS y FROM {book} LEFT JOIN
+    (SELECT s, best % 64 AS e, [{means}] AS m FROM {assigned} GROUP BY s, best % 64) USING (s, e)"""
+
+
+_CODES = f"""WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor(c::DOUBLE * 256)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+  p AS (SELECT vec_id, label, s, list_slice(v, 4 * s + 1, 4 * s + 4) AS x FROM k, range(16) t(s)),
+  c0 AS (SELECT s, e, list_slice(v, 4 * s + 1, 4 * s + 4) AS y FROM (SELECT v, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k) i, range(16) t(s) WHERE e < 64),
+  a0 AS MATERIALIZED ({_assigned("c0")}), c1 AS MATERIALIZED ({_moved("c0", "a0")}), a1 AS MATERIALIZED ({_assigned("c1")}),
+  c2 AS MATERIALIZED ({_moved("c1", "a1")}), a2 AS MATERIALIZED ({_assigned("c2")}),
+  o AS (SELECT vec_id, label, string_agg(printf('%02x', best % 64), '' ORDER BY s) AS code, sum(best // 64)::BIGINT AS error FROM a2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY s, e)) FROM c2) AS codebooks_sha256 FROM o"""
+
+_LINES = r"regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+')"
+_MIDDLE = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_LINES} AS l, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+  c AS (SELECT *, len(l) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS r FROM d),
+  f AS (SELECT doc_id, t, n, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b, l,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+      WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c),
+  q AS (SELECT doc_id, t, n, form, coalesce(array_to_string(list_slice(l, 1, a), ''), '') AS pre, coalesce(array_to_string(list_slice(l, a + 1, b), ''), '') AS mid,
+    coalesce(array_to_string(list_slice(l, b + 1, n), ''), '') AS suf FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM q"""
+
 ORACLES: dict[str, str] = {
     "op1_warc": _WARC,
     "op6_substring_dedup": _PASSAGES,
@@ -123,4 +172,6 @@ ORACLES: dict[str, str] = {
     "op8_exact_dedup": _EXACT,
     "op9_decontamination": _LEAKS,
     "op10_chat_format": _CHAT,
+    "op11_vector_codes": _CODES,
+    "op12_fill_in_middle": _MIDDLE,
 }
