@@ -22,15 +22,15 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, kind: str = "table") -> DataFrame:
+def stored(df: DataFrame, kind: str = "table", **options: str) -> DataFrame:
     """`df` written in the shared folder and read back: cuts the plan and survives lost executors."""
-    return stored_at(df, kind)[0]
+    return stored_at(df, kind, **options)[0]
 
 
-def stored_at(df: DataFrame, kind: str = "table") -> tuple[DataFrame, str]:
+def stored_at(df: DataFrame, kind: str = "table", **options: str) -> tuple[DataFrame, str]:
     """As `stored`, with the table's place, for a table that a later one will replace."""
     path = new_folder(df.sparkSession, kind)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -9,7 +9,10 @@ end becomes sequences of powers of two, which need no padding.
 
 from __future__ import annotations
 
+import itertools
+import json
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -40,50 +43,104 @@ _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id
 
 
 class _Numbers(dict):
-    """Numbers words in the order they first occur."""
+    """Numbers words in the order they first occur, and lists those not yet looked at."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
+        self.fresh.append(word)
         return number
 
 
+# The splitting rule that `_simple_parts` writes for words of Latin letters, ASCII digits and ASCII signs.
+_SPLIT_RULE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_LATIN = "a-z\xb5\xdf-\xf6\xf8-\u01bf"
+_SIMPLE = re.compile(f"[!-~{_LATIN}]+")
+_simple_parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^0-9{_LATIN}]+").findall
+
+
+def _byte_letters() -> list[str]:
+    """The printable character that stands for each byte: itself where it is printable, else one after U+00FF."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class WordIds:
     """Token ids of texts, for tokenizers that drop white space: no token depends on a neighbouring word.
 
-    Every distinct word is tokenized once and remembered, up to `CACHE_CHARS` characters of words.
+    Every distinct word is tokenized once and remembered, up to `CACHE_CHARS` characters of words. Words of
+    Latin letters and ASCII signs are split here by the file's own rule, if it is the one known, and their parts
+    go to the file's merges directly; all others go through the library as they are.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        rule = json.loads(tokenizer.to_str())
+        normalizers, splits = (rule[k] or {} for k in ("normalizer", "pre_tokenizer"))
+        steps = splits.get("pretokenizers", [])
+        self.known_rule = (
+            normalizers.get("normalizers") == _NORMALIZERS and len(steps) == 2 and steps[0].get("pattern") == {"Regex": _SPLIT_RULE}
+            and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+            and rule["model"]["type"] == "BPE" and all(t["content"].startswith("<|") for t in rule["added_tokens"])
+        )
+        self.merges = tokenizer.model
+        self.letters = _byte_letters()
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers, self.chars = _Numbers(), 0
+        self.numbers, self.chars, self.parts_known = _Numbers(), 0, {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.known = 0
 
+    def _merged(self, part: str) -> list[int]:
+        ids = self.parts_known.get(part)
+        if ids is None:
+            spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+            ids = self.parts_known[part] = [t.id for t in self.merges.tokenize(spelled)]
+            self.chars += len(part)
+        return ids
+
+    def _ids(self, word: str) -> list[int] | None:
+        """The ids of a simple word, else None."""
+        low = word.lower()
+        if not _SIMPLE.fullmatch(low) or "<|" in word or not unicodedata.is_normalized("NFC", word):
+            return None
+        if low.isalpha():
+            return self._merged(low)
+        return [i for part in _simple_parts(low) for i in self._merged(part)]
+
     def _learn(self) -> None:
-        words = list(self.numbers)[self.known :] if self.known else list(self.numbers)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            for encoded in self.tokenizer.encode_batch(part, add_special_tokens=False):
-                ids = encoded.ids
-                if self.known == len(self.starts):
-                    self.starts, self.sizes = np.resize(self.starts, 2 * self.known), np.resize(self.sizes, 2 * self.known)
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.resize(self.flat, 2 * len(self.flat))
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.starts[self.known], self.sizes[self.known] = self.used, len(ids)
-                self.used, self.known = self.used + len(ids), self.known + 1
-            self.chars += sum(map(len, part))
+        words, self.numbers.fresh = self.numbers.fresh, []
+        found = [self._ids(w) if self.known_rule else None for w in words]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
+            encoded = self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)
+            for i, e in zip(part, encoded):
+                found[i] = e.ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        total, upto = int(sizes.sum()), self.known + len(found)
+        if upto > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * upto), np.resize(self.sizes, 2 * upto)
+        if self.used + total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (self.used + total))
+        self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, total)
+        self.sizes[self.known : upto] = sizes
+        self.starts[self.known : upto] = self.used + np.cumsum(sizes) - sizes
+        self.used, self.known = self.used + total, upto
+        self.chars += sum(map(len, words))
 
     def _of(self, text: str) -> np.ndarray:
         words = _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
         if not words:
             return np.zeros(0, np.uint32)
         numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        if len(self.numbers) > self.known:
+        if self.numbers.fresh:
             self._learn()
         sizes = self.sizes[numbers]
         ends = np.cumsum(sizes)
@@ -140,8 +197,6 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def word_tokenizer(tokenizer):
     """The tokenizer, if words can be tokenized one by one: its rule must drop white space and its
     added tokens must take none with them. Others are an error."""
-    import json
-
     rule = json.loads(tokenizer.to_str())
     split = next((p for p in (rule.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"), None)
     drops = split is not None and split["behavior"] == "Removed" and split["invert"] and "\\\\s" not in split["pattern"]["Regex"].replace("[^\\\\s", "")
@@ -158,7 +213,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: i
     unsigned 32-bit). Every document ends with `end_id`, so null and empty texts have one piece of length 1.
     """
     made = docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer_path, end_id, capacity), PIECES)
-    return stored(made.withColumn("piece", F.monotonically_increasing_id()), "packing-pieces")
+    return stored(made.withColumn("piece", F.monotonically_increasing_id()), "packing-pieces", compression="zstd")
 
 
 def running(rows: DataFrame, key: str, amount: Column, name: str, sizes: dict[int, int], rank_rows: int = RANK_ROWS) -> DataFrame:
@@ -285,25 +340,27 @@ def _streamed(whole: DataFrame, rest: DataFrame, sequences: int, capacity: int,
     inner = F.array(F.when((full < upto) & (full <= end), full), *[F.when((F.col("at") < b) & (upto > b), F.lit(b)) for b in bounds])
     edges = F.array_distinct(F.concat(F.array(F.col("at")), F.array_compact(inner), F.array(upto)))
     spans = F.transform(F.slice("edges", 1, F.size("edges") - 1), lambda a, i: F.struct(a.alias("low"), F.element_at("edges", i + 2).alias("high")))
-    cut = laid.withColumn("edges", edges).withColumn("span", F.explode(spans)).select("piece", "at", "span.low", "span.high")
+    cut = laid.withColumn("edges", edges).withColumn("span", F.explode(spans)).select("piece", "at", "edges", "span.low", "span.high")
     tail = sum((F.when(F.col("low") >= b, 1).otherwise(0) for b in bounds), F.lit(0))
     begin = F.lit(end)
     for b in bounds:
         begin = F.when(F.col("low") >= b, F.lit(b)).otherwise(begin)
     in_tail = F.col("low") >= end
-    cut = cut.select(
+    cut = stored(cut.select(
         "piece", (F.col("low") - F.col("at")).alias("_skip"), (F.col("high") - F.col("low")).alias("_size"),
         (F.when(in_tail, end // capacity + tail).otherwise(F.floor(F.col("low") / capacity)) + sequences).cast("long").alias("sequence_id"),
         F.when(in_tail, F.col("low") - begin).otherwise(F.pmod("low", F.lit(capacity))).cast("long").alias("offset"),
+        (F.size("edges") == 2).alias("_uncut"),
+    ), "packing-stream")
+    # Only pieces that are really cut need their ids for a new digest: one or two a streamed sequence, in a table of their own.
+    uncut = whole.join(cut.where("_uncut").select("piece", "sequence_id", "offset"), "piece").select(*_COLUMNS, "ids")
+    some = stored(cut.where("NOT _uncut").drop("_uncut"), "packing-cuts")
+    ids = F.substring("ids", (F.col("_skip") * 4 + 1).cast("int"), (F.col("_size") * 4).cast("int"))
+    torn = whole.join(some, "piece").withColumn("ids", ids).select(
+        "doc_id", (F.col("start") + F.col("_skip")).alias("start"), F.col("_size").alias("length"), F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset", "ids",
     )
-    rows = whole.join(cut, "piece")
-    ids = F.when(F.col("_size") == F.col("length"), F.col("ids")).otherwise(
-        F.substring("ids", (F.col("_skip") * 4 + 1).cast("int"), (F.col("_size") * 4).cast("int")))
-    return rows.select(
-        "doc_id", (F.col("start") + F.col("_skip")).alias("start"), F.col("_size").alias("length"),
-        F.when(F.col("_size") == F.col("length"), F.col("ids_crc32")).otherwise(F.crc32(ids)).alias("ids_crc32"),
-        "doc_tokens", "sequence_id", "offset", ids.alias("ids"),
-    )
+    return uncut.unionByName(torn)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
