@@ -9,11 +9,11 @@ end becomes sequences of powers of two, which need no padding.
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +25,7 @@ from riskweave.llm.cutting_stock import CUT_COST, Pattern, length_classes, patte
 
 CAPACITY = 4096
 RANK_ROWS = 50_000  # pieces ranked or laid end to end in one window
-CACHE_CHARS = 32 << 20  # distinct words a task remembers
+CACHE_CHARS = 12 << 20  # characters of the distinct words and parts that a Python worker remembers, about 300 MB
 SLICE_CHARS = 1 << 20
 FLUSH_BYTES = 8 << 20
 
@@ -94,25 +94,25 @@ class WordIds:
     def _forget(self) -> None:
         self.numbers, self.chars, self.parts_known = _Numbers(), 0, {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
         self.known = 0
 
-    def _merged(self, part: str) -> list[int]:
+    def _merged(self, part: str) -> bytes:
         ids = self.parts_known.get(part)
         if ids is None:
             spelled = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
-            ids = self.parts_known[part] = [t.id for t in self.merges.tokenize(spelled)]
+            ids = self.parts_known[part] = array("I", [t.id for t in self.merges.tokenize(spelled)]).tobytes()
             self.chars += len(part)
         return ids
 
-    def _ids(self, word: str) -> list[int] | None:
-        """The ids of a simple word, else None."""
+    def _ids(self, word: str) -> bytes | None:
+        """The ids of a simple word as unsigned 32-bit numbers, else None."""
         low = word.lower()
         if not _SIMPLE.fullmatch(low) or "<|" in word or not unicodedata.is_normalized("NFC", word):
             return None
         if low.isalpha():
             return self._merged(low)
-        return [i for part in _simple_parts(low) for i in self._merged(part)]
+        return b"".join([self._merged(part) for part in _simple_parts(low)])
 
     def _learn(self) -> None:
         words, self.numbers.fresh = self.numbers.fresh, []
@@ -122,16 +122,16 @@ class WordIds:
             part = rest[at : at + 4096]
             encoded = self.tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False)
             for i, e in zip(part, encoded):
-                found[i] = e.ids
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+                found[i] = array("I", e.ids).tobytes()
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // 4
         total, upto = int(sizes.sum()), self.known + len(found)
         if upto > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * upto), np.resize(self.sizes, 2 * upto)
         if self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * (self.used + total))
-        self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.frombuffer(b"".join(found), np.uint32)
         self.sizes[self.known : upto] = sizes
-        self.starts[self.known : upto] = self.used + np.cumsum(sizes) - sizes
+        self.starts[self.known : upto] = self.used + np.cumsum(sizes, dtype=np.int32) - sizes
         self.used, self.known = self.used + total, upto
         self.chars += sum(map(len, words))
 
@@ -139,12 +139,13 @@ class WordIds:
         words = _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
         if not words:
             return np.zeros(0, np.uint32)
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words))
         if self.numbers.fresh:
             self._learn()
         sizes = self.sizes[numbers]
-        ends = np.cumsum(sizes)
-        places = np.repeat(self.starts[numbers] - ends + sizes, sizes) + np.arange(int(ends[-1]))
+        ends = np.cumsum(sizes, dtype=np.int32)
+        places = np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        places += np.arange(int(ends[-1]), dtype=np.int32)
         out = self.flat[places]
         if self.chars > CACHE_CHARS:
             self._forget()
@@ -162,14 +163,23 @@ class WordIds:
             at = end
 
 
+_REMEMBERED: dict[str, WordIds] = {}  # of this process: a Python worker serves many tasks
+
+
+def _word_ids(path: str) -> WordIds:
+    if path not in _REMEMBERED:
+        from tokenizers import Tokenizer
+
+        _REMEMBERED[path] = WordIds(word_tokenizer(Tokenizer.from_file(path)))
+    return _REMEMBERED[path]
+
+
 def _pieces(path: str, end_id: int, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
-
-        word_ids = WordIds(word_tokenizer(Tokenizer.from_file(path)))
+        word_ids = _word_ids(path)
         rows, held = [], 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
