@@ -18,7 +18,7 @@ def test_same_rows_as_sql(spark, con, small, name):
     assert compare(spark, con, name, small, QUERIES, ORACLES) is None
 
 
-@pytest.mark.parametrize("name", ["op3_toxicity", "op4_sharding", "op5_token_counts"])
+@pytest.mark.parametrize("name", ["op3_toxicity", "op4_sharding", "op5_token_counts", "op12_fill_in_middle"])
 def test_a_row_for_every_document(spark, small, name):
     ids = [r["doc_id"] for r in QUERIES[name](spark, small).select("doc_id").collect()]
     assert sorted(ids) == sorted(r["doc_id"] for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id").collect())
@@ -26,5 +26,5 @@ def test_a_row_for_every_document(spark, small, name):
 
 def test_the_entry_has_all_text_queries():
     names = set(driver.queries())
-    assert set(QUERIES) | {"pipeline"} <= names and len(QUERIES) == 10
+    assert set(QUERIES) | {"pipeline"} <= names and len(QUERIES) == 13
     assert set(ORACLES) <= set(driver.oracle_sql()) and driver.queries()["pipeline"] is corpus_pipeline.run
