@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from riskweave.functions import columns as c
 from riskweave.functions.history import Measure, before, with_blocks
@@ -61,16 +61,22 @@ def recent_per_key(df: DataFrame, key: Sequence[str], n: int, ts: str = "ts", id
 
 def running_counters(df: DataFrame, sequence: str = "transaction_id", size: int = 100, **sizes: int) -> DataFrame:
     """Totals after each batch, the batch's own mean risk and the true running mean."""
-    batches = etl_batch_stats(df, sequence, size).withColumn("_all", F.lit(0))
+    return running_totals(etl_batch_stats(df, sequence, size), **sizes)
+
+
+def running_totals(batches: DataFrame, start: Row | None = None, **sizes: int) -> DataFrame:
+    """`running_counters` of rows (batch, total, fraud, risk_sum, scored), on top of the totals in `start`."""
+    first = {n: 0 if start is None else start[n] for n in ("total", "fraud", "risk_sum", "scored")}
     past = before(
-        batches, _ALL, "batch", "batch",
+        batches.withColumn("_all", F.lit(0)), _ALL, "batch", "batch",
         [Measure("_t", F.col("total")), Measure("_f", F.col("fraud")), Measure("_r", F.col("risk_sum")), Measure("_s", F.col("scored"))],
         **sizes,
     )
+    upto = lambda past, own: F.col(past) + F.col(own) + F.lit(first[own])
     return past.select(
         "batch",
-        (F.col("_t") + F.col("total")).alias("total_count"),
-        (F.col("_f") + F.col("fraud")).alias("fraud_count"),
-        F.col("avg_risk").alias("batch_avg_risk"),
-        F.try_divide(F.col("_r") + F.col("risk_sum"), F.col("_s") + F.col("scored")).alias("running_avg_risk"),
+        upto("_t", "total").alias("total_count"),
+        upto("_f", "fraud").alias("fraud_count"),
+        F.try_divide("risk_sum", "scored").alias("batch_avg_risk"),
+        F.try_divide(upto("_r", "risk_sum"), upto("_s", "scored")).alias("running_avg_risk"),
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskweave.functions import columns as c
 from riskweave.models.ensemble import fallback_score
 from riskweave.operators import alerts
 from riskweave.plans.registry import iso_sql, query, txn
+from riskweave.session import shared_dir
 from riskweave.sources import stores
 from riskweave.sources.tables import transactions
 
@@ -66,3 +69,25 @@ def _(spark, d):
         F.floor(F.col("transaction_id") / 2).alias("transaction_id"), F.col("ts").alias("scored_at"), "fraud_probability")
     now = scored.agg(F.max("scored_at").alias("now"))
     return stores.latest_prediction(scored, now, 86_400).withColumn("scored_at", c.iso(F.col("scored_at")))
+
+
+@query("backfill_days", txn("""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS rows, count(*) FILTER (WHERE is_fraud) AS fraud FROM txn GROUP BY 1"""))
+def _(spark, d):
+    """A table by day whose second half is derived anew; both halves must hold every row once."""
+    path = f"{shared_dir(spark)}/backfill-{uuid.uuid4().hex}"
+    rows = lean(spark, d)
+    days = rows.agg(F.to_date(F.min("ts")).alias("first"), F.to_date(F.max("ts")).alias("last")).first()
+    middle = days["first"] + (days["last"] - days["first"]) // 2
+    stores.backfill(rows, path, days["first"], days["last"])
+    stores.backfill(rows, path, middle, days["last"])
+    return spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("rows"), F.count_if("is_fraud").alias("fraud"))
+
+
+@query("alerts_expired", txn(f"""WITH a AS (SELECT transaction_id, ts AS created_at FROM txn WHERE is_fraud AND risk_score > 80)
+  SELECT transaction_id, {iso_sql('created_at')} AS created_at FROM a WHERE CAST(created_at AS DATE) >= (SELECT CAST(max(created_at) - INTERVAL 7 DAYS AS DATE) FROM a)"""))
+def _(spark, d):
+    """What the alert store still holds when its days past the retention are deleted."""
+    store = stores.AlertStore(spark, f"{shared_dir(spark)}/alerts-{uuid.uuid4().hex}")
+    made = alerts.alert_candidates(lean(spark, d)).select("transaction_id", F.col("ts").alias("created"))
+    store.append(made, F.col("created"))
+    return store.read(spark.read.parquet(store.path).schema).select("transaction_id", c.iso(F.col("created_at")).alias("created_at"))

@@ -22,7 +22,7 @@ from riskweave.schemas import FEATURES, GEO_CROSS_BORDER, TOPICS, TRANSACTION
 from riskweave.session import shared_dir
 from riskweave.sources.stores import AlertStore
 from riskweave.sources.tables import as_transactions, table, transactions, user_regions
-from riskweave.streaming import aggregates as w, jobs, sinks
+from riskweave.streaming import aggregates as w, jobs, live as metrics, sinks
 from riskweave.streaming.sources import is_folder, stream_source
 
 
@@ -177,3 +177,49 @@ def _(spark, d):
     sinks.finish(jobs.micro_batch_etl(live(spark, d), path, store, f"{path}/checkpoint"))
     parts = spark.read.parquet(f"{path}/metrics/batch=*")
     return parts.groupBy(F.col("batch").alias("batch_no")).agg(F.sum("total").alias("total"), F.sum("fraud").alias("fraud"))
+
+
+@query("stream_trailing_latency", txn("""SELECT transaction_id, round(avg(processing_ms) OVER (ORDER BY ts, transaction_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), 6) AS avg_latency_ms FROM txn"""))
+def _(spark, d):
+    path = fresh(spark)
+    sinks.finish(metrics.latency_stream(live(spark, d, region=False), path, f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/out").select("transaction_id", F.round("avg_latency_ms", 6).alias("avg_latency_ms"))
+
+
+@query("stream_throughput_60s", txn("""SELECT transaction_id, least(60, count(*) OVER (ORDER BY epoch_us(ts) RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW)) AS throughput FROM txn"""))
+def _(spark, d):
+    path = fresh(spark)
+    sinks.finish(metrics.throughput_stream(live(spark, d, region=False), path, f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/out").select("transaction_id", F.col("throughput").cast("long").alias("throughput"))
+
+
+@query("stream_recent_per_user", txn("""WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, transaction_id DESC) AS rank FROM txn)
+  SELECT user_id, CAST(rank AS INTEGER) AS rank, transaction_id, risk_score FROM k WHERE rank <= 8"""))
+def _(spark, d):
+    path = fresh(spark)
+    rows = live(spark, d, region=False).select("user_id", "transaction_id", "risk_score", "ts")
+    sinks.finish(metrics.recent_stream(rows, path, f"{path}/checkpoint", ["user_id"], 8))
+    table = metrics.recent_table(spark, path, ["user_id"], rows.schema)
+    return metrics.newest(table).select("user_id", "rank", "transaction_id", "risk_score")
+
+
+@query("stream_running_counters", txn("""WITH b AS (SELECT transaction_id // 100 AS batch, count(*) AS n, count(*) FILTER (WHERE is_fraud) AS f, sum(risk_score) AS r FROM txn GROUP BY 1)
+  SELECT batch, CAST(sum(n) OVER w AS BIGINT) AS total_count, CAST(sum(f) OVER w AS BIGINT) AS fraud_count, CAST(r AS DOUBLE) / n AS batch_avg_risk,
+  CAST(sum(r) OVER w AS DOUBLE) / sum(n) OVER w AS running_avg_risk FROM b WINDOW w AS (ORDER BY batch)"""))
+def _(spark, d):
+    path = fresh(spark)
+    sinks.finish(metrics.counters_stream(live(spark, d, region=False), path, f"{path}/checkpoint"))
+    return metrics.latest_counters(spark, path)
+
+
+@query("stream_metric_cache", txn("""WITH n AS (SELECT max(ts) AS now FROM txn)
+  SELECT 'metrics:latency:' || user_id AS name, CAST(arg_max(processing_ms, ts) AS DOUBLE) AS value FROM txn GROUP BY user_id
+    HAVING max(ts) + INTERVAL 36000 SECOND > (SELECT now FROM n)
+  UNION ALL SELECT 'etl:total_count', CAST(count(*) AS DOUBLE) FROM txn UNION ALL SELECT 'etl:fraud_count', CAST(count(*) FILTER (WHERE is_fraud) AS DOUBLE) FROM txn"""))
+def _(spark, d):
+    path = fresh(spark)
+    rows = live(spark, d, region=False)
+    sinks.finish(metrics.metrics_stream(rows, path, f"{path}/checkpoint", 36_000))
+    now = transactions(spark, d, region=False).agg(F.max("ts").alias("now")).first()["now"]
+    gauges, counters = metrics.metric_caches(spark, path)
+    return gauges.read(F.lit(now)).unionByName(counters.read(F.lit(now))).select("name", "value")

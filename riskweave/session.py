@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query relies on. UTC keeps hours and days independent of the machine;
 # adaptive execution picks join strategies and partition counts from measured sizes; stream state
-# lives in RocksDB, off the heap.
+# lives in RocksDB, off the heap. How a table is split into tasks would follow the cores registered at that
+# moment; a fixed number instead keeps row numbers taken from a scan alike while executors come and go.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.files.minPartitionNum": "32",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

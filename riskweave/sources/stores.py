@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, datetime, timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from riskweave.operators.projections import etl_transform
 from riskweave.schemas import STORED_TRANSACTION
+from riskweave.sources.folders import drop_folder, folder_values
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, batch_rows: int = 10_000) -> None:
@@ -50,6 +55,28 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def partition_days(spark: SparkSession, path: str, name: str) -> list[date]:
+    """The days that have a folder `name=<day>` in a table."""
+    return sorted(date.fromisoformat(v) for v in folder_values(spark, path, name) if v[:4].isdigit())
+
+
+def backfill(rows: DataFrame, path: str, first: date, last: date, derive: Callable[[DataFrame], DataFrame] = etl_transform, ts: str = "ts") -> list[date]:
+    """Derive the days `first` to `last` of the table at `path` (a folder `day=` each) anew from `rows`; returns the days that now have rows.
+
+    The range reaches the scan of `rows` as a filter on `ts`. Each day is replaced as a whole, days of the range without rows go, all
+    others keep their files. Doing it again changes nothing.
+    """
+    spark = rows.sparkSession
+    inside = (F.col(ts) >= F.lit(datetime.combine(first, datetime.min.time()))) & (F.col(ts) < F.lit(datetime.combine(last, datetime.min.time()) + timedelta(days=1)))
+    made = derive(rows.where(inside)).withColumn("day", F.to_date(ts))
+    made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    found = {r[0] for r in rows.where(inside).select(F.to_date(ts)).distinct().collect()}  # one row a day of the range
+    for day in partition_days(spark, path, "day"):
+        if first <= day <= last and day not in found:
+            drop_folder(spark, f"{path}/day={day.isoformat()}")
+    return sorted(found)
+
+
 class AlertStore:
     """Alerts with at most one row per transaction, partitioned by day.
 
@@ -80,9 +107,19 @@ class AlertStore:
             known = kept.select("transaction_id").join(fresh.select("transaction_id"), "transaction_id", "left_semi")
             new = fresh.join(known, "transaction_id", "left_anti")
             new.write.mode("append").partitionBy("created_day").parquet(self.path)
+            self.expire(fresh.agg(F.max("created_at")).first()[0])
         finally:
             fresh.unpersist()
 
+    def expire(self, as_of: datetime) -> list[date]:
+        """Delete the days whose alerts have all outlived the retention at `as_of`; returns them. The driver
+        looks at one folder a day, and no younger day is touched."""
+        last = (as_of - timedelta(days=self.days)).date()
+        gone = [d for d in partition_days(self.spark, self.path, "created_day") if d < last]
+        for day in gone:
+            drop_folder(self.spark, f"{self.path}/created_day={day.isoformat()}")
+        return gone
+
     def current(self, schema: T.StructType, as_of: Column) -> DataFrame:
         """Alerts younger than the retention, whole expired days pruned by partition."""
         oldest = as_of - F.expr(f"INTERVAL {int(self.days)} DAYS")

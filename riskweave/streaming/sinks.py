@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from riskweave.operators.alerts import alert_rule
 from riskweave.schemas import TOPICS
+from riskweave.streaming.lifecycle import wait
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -73,9 +74,8 @@ def debug_sink(df: DataFrame, kind: str, name: str, mode: str = "append", every:
 
 
 def finish(*queries: StreamingQuery) -> None:
-    """Wait for queries that stop by themselves; raises what made one fail."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait for queries that stop by themselves; the first that fails stops the others and is raised."""
+    wait(*queries)
 
 
 def stop_all(spark: SparkSession) -> None:
