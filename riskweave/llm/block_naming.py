@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskweave.llm.common import stored, whole_text
+from riskweave.llm.common import row_number, stored, whole_text
 
 BLOCK_BYTES = 4096
 
@@ -77,9 +77,9 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     Of equal texts the row with the largest doc_id stays; a null doc_id is smaller than any other, and
     of repeated rows with the same doc_id one stays. Null texts equal empty ones. An empty table gives
     no rows; other columns of `docs` are not looked at. `docs` must be a stored table: rows are
-    numbered by their place in the scan, which each reading repeats.
+    numbered by their place in the scan (see `row_number`).
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_id"), F.col("doc_id"), whole_text().alias("text"))
+    rows = docs.select(row_number(docs).alias("_id"), F.col("doc_id"), whole_text().alias("text"))
     named = identities(rows, "_id", F.col("text"), block_bytes)
     facts = rows.select("_id", "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
     members = stored(facts.join(named, "_id"), "exact-members")

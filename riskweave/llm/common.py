@@ -40,6 +40,17 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def row_number(docs: DataFrame) -> Column:
+    """A number for each row of a stored table, the same in every reading of it.
+
+    It is made of the row's place within its task's part of the files. How files are dealt to tasks is fixed by
+    `spark.sql.files.minPartitionNum`, which `tune` sets; without it, it would follow the cores registered at
+    the moment, and two readings of one job could number rows differently.
+    """
+    tune(docs.sparkSession)
+    return F.monotonically_increasing_id()
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, longer where `df` has a column of that name."""
     taken = {c.lower() for c in df.columns}

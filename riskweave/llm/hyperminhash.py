@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskweave.llm.common import stored, unused, whole_text
+from riskweave.llm.common import row_number, stored, unused, whole_text
 from riskweave.llm.components import components
 
 BUCKET_BITS, MANTISSA_BITS = 8, 10
@@ -302,7 +302,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     all others. An empty table gives an empty one. `percent` is meant for 80 and more: bands are tuned to it.
     `docs` must be a stored table: rows are known by their number in the scan (`_row`).
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", whole_text().alias("text"))
+    rows = docs.select(row_number(docs).alias("_row"), "doc_id", whole_text().alias("text"))
     sketches = stored(rows.select("_row", "text").mapInArrow(_sketching(k), SKETCH), "sketches")
     classes = sketches.where("signature IS NOT NULL").groupBy("signature").agg(F.min("_row").alias("node"))
     same = stored(
@@ -407,4 +407,4 @@ def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> D
     """One document of each component, with its columns. `docs` must be a stored table."""
     (row,) = unused(docs, "_row")
     stays = near_duplicates(docs, k, percent).where("kept").select(F.col("_row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(stays, row, "left_semi").select(*docs.columns)
+    return docs.withColumn(row, row_number(docs)).join(stays, row, "left_semi").select(*docs.columns)

@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskweave.llm.common import stored, unused, whole_text
+from riskweave.llm.common import row_number, stored, unused, whole_text
 
 ENTROPY_SHARE = 0.95  # target entropy, as a share of that of equal weights
 MOST_PASSES = 4.0  # how often a document may be repeated on average
@@ -111,7 +111,7 @@ def draws(
     text = whole_text()
     rows = stored(
         docs.select("doc_id", "source", word_count(text).alias("mix_tokens"), F.md5(text.cast("binary")).alias("_text_md5"))
-        .withColumn("_place", _place(seed)).drop("_text_md5").withColumn("_row", F.monotonically_increasing_id()),
+        .withColumn("_place", _place(seed)).drop("_text_md5").withColumn("_row", row_number(docs)),
         "mix-rows",
     )
     sizes = rows.groupBy("source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("rows")).collect()
@@ -169,4 +169,4 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     (row,) = unused(docs, "_row")
     chosen = draws(docs, **options).select(F.col("_row").alias(row))
-    return docs.withColumn(row, F.monotonically_increasing_id()).join(chosen, row).select(*docs.columns)
+    return docs.withColumn(row, row_number(docs)).join(chosen, row).select(*docs.columns)

@@ -40,7 +40,7 @@ LEET = {
 LEET_COST, REPEAT_COST, GAP_COST = 2.0, 1.0, 0.2
 GAPS = " ._-*~'/"
 
-_STRIP_RIGHT = re.compile(r"[\W_]+$")
+_TAIL = re.compile(r"[\W_]*")  # matched from a word's end, so that a long run is read once
 _STRIP_LEFT = re.compile(r"^[^\w@$!|+(<€£¡]+")
 _HIDDEN = re.compile(r"[0-9@$!|+(<€£¡]|\w[._\-*~'/]+\w|(.)\1\1|(.)\2(.)\3")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
@@ -132,23 +132,25 @@ class Decoder:
 
     def decode(self, observed: str) -> str:
         """Viterbi over states of two intended characters."""
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}  # cost, and the path back
         before = None
         for c in observed:
             arcs, following = self._arcs(c, before), {}
-            for (a, b), (cost, word) in best.items():
+            for (a, b), (cost, path) in best.items():
                 row = self.costs[a][b]
                 for symbol, character, extra in arcs:
                     state = (a, b) if symbol is None else (b, symbol)
                     total = cost + extra + (0.0 if symbol is None else row[symbol])
                     if state not in following or total < following[state][0]:
-                        following[state] = (total, word + character)
+                        following[state] = (total, (path, character) if character else path)
             best, before = following, (before if c in GAPS else c)
-        return min((cost + self.costs[a][b][0], word) for (a, b), (cost, word) in best.items())[1]
+        ends = [(cost + self.costs[a][b][0], path) for (a, b), (cost, path) in best.items()]
+        least = min(cost for cost, _ in ends)
+        return min(_spelled(path) for cost, path in ends if cost == least)
 
     def restored(self, word: str) -> str:
         """A word in lower case as it was meant; most words have a lattice of one path and return at once."""
-        core = _STRIP_LEFT.sub("", _STRIP_RIGHT.sub("", word))
+        core = _STRIP_LEFT.sub("", word[: len(word) - _TAIL.match(word[::-1]).end()])
         return self.decode(core) if core and _HIDDEN.search(core) else core
 
     def words(self, text: str) -> set[str]:
@@ -159,6 +161,14 @@ class Decoder:
         return found
 
 
+def _spelled(path: tuple | None) -> str:
+    letters = []
+    while path is not None:
+        path, letter = path
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
 # -- evidence -----------------------------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from riskweave.llm.common import base32, file_system, new_folder, stored
+from riskweave.llm.common import base32, file_system, new_folder, row_number, stored
 
 DATE = "2024-01-01T00:00:00Z"  # every record carries the same date, so archives are repeatable
 PIECE = 1 << 20
@@ -53,7 +53,7 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
-        F.monotonically_increasing_id().alias("_id"),
+        row_number(pages).alias("_id"),
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         payload.alias("payload"),
