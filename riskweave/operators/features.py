@@ -51,12 +51,15 @@ def _previous() -> Measure:
     return Measure("_previous", F.col(T), how="max")
 
 
-def _geo() -> list[Measure]:
-    return [Measure("_seen", F.lit(1)), Measure("_lat", F.col("latitude")), Measure("_lng", F.col("longitude"))]
+def _geo(weight: str | None = None) -> list[Measure]:
+    """Rows and positions added up; a row of `weight` n stands for n rows, and holds the sums of their positions."""
+    return [Measure("_seen", F.lit(1) if weight is None else F.coalesce(F.col(weight), F.lit(1))), Measure("_lat", F.col("latitude")), Measure("_lng", F.col("longitude"))]
 
 
-def _device() -> Measure:
-    return Measure("_device_seen", F.lit(1), per=("device_id",))
+def _device(weight: str | None = None) -> Measure:
+    """Uses of the row's device; a row that stands for several has no device, one of weight 0 is a known device."""
+    used = F.lit(1) if weight is None else F.when(F.coalesce(F.col(weight), F.lit(0)) == 0, 1).otherwise(0)
+    return Measure("_device_seen", used, per=("device_id",))
 
 
 def _gap_score(previous: Column, ts: str) -> Column:
@@ -141,20 +144,22 @@ def transaction_features(
     merchant_daily: DataFrame | None = None,
     keep: Iterable[str] = (),
     regions: DataFrame | None = None,
+    weight: str | None = None,
     **sizes: int,
 ) -> DataFrame:
     """The 12 features in their fixed order, after the id and the columns in `keep`.
 
     All user features share one exchange. The merchant score joins a table of merchant-days. When
     the region comes from a lookup of users, pass it as `regions` (user_id, region): it is joined
-    last, once, instead of below every pass over the rows.
+    last, once, instead of below every pass over the rows. `weight` names a column that is null for
+    ordinary rows and says how many rows a carry row stands for; those must be older than all look-backs.
     """
     measures = [
         _velocity(1), _recent(DAYS_BACK), *_recent_amount(DAYS_BACK), _recent(DAYS_BACK, ("channel",)),
-        _previous(), *_geo(), _device(),
+        _previous(), *_geo(weight), _device(weight),
     ]
     wanted = [ID, "user_id", ts, "amount", "channel", "merchant", "region", "latitude", "longitude", "device_id", "is_fraud"]
-    columns = [n for n in dict.fromkeys([*wanted, *keep]) if regions is None or n != "region"]
+    columns = [n for n in dict.fromkeys([*wanted, *keep, *([] if weight is None else [weight])]) if regions is None or n != "region"]
     daily = merchant_daily_counts(df, ts) if merchant_daily is None else merchant_daily
     scored = merchant_risk_asof(_history(df.select(*columns), measures, ts, **sizes), ts, daily=daily)
     if regions is not None:

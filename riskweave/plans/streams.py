@@ -23,6 +23,7 @@ from riskweave.session import shared_dir
 from riskweave.sources.stores import AlertStore
 from riskweave.sources.tables import as_transactions, table, transactions, user_regions
 from riskweave.streaming import aggregates as w, jobs, live as metrics, sinks
+from riskweave.streaming.history import BoundedHistory
 from riskweave.streaming.sources import is_folder, stream_source
 
 
@@ -140,7 +141,7 @@ def _(spark, d):
     path = fresh(spark)
     store = AlertStore(spark, f"{path}/alerts", days=36_500)
     sinks.finish(jobs.score_stream(
-        live(spark, d), jobs.UserHistory(f"{path}/history"), f"{path}/predictions", store, f"{path}/checkpoint",
+        live(spark, d), BoundedHistory(f"{path}/history"), f"{path}/predictions", store, f"{path}/checkpoint",
         cross_border=GEO_CROSS_BORDER))
     made = spark.read.parquet(f"{path}/predictions")
     return made.select(F.col("transaction_id").cast("long").alias("transaction_id"), "fraud_probability")
@@ -153,7 +154,7 @@ def _(spark, d):
     """What the scoring stream raises, as its messages to the alert topic say it."""
     path = fresh(spark)
     sinks.finish(jobs.score_stream(
-        live(spark, d), jobs.UserHistory(f"{path}/history"), f"{path}/predictions", AlertStore(spark, f"{path}/alerts"),
+        live(spark, d), BoundedHistory(f"{path}/history"), f"{path}/predictions", AlertStore(spark, f"{path}/alerts"),
         f"{path}/checkpoint", cross_border=GEO_CROSS_BORDER, publish=jobs.topic_writer(f"{path}/topics", "parquet")))
     value = F.from_json("value", "alert_id string, fraud_type string, merchant string, risk_score int, message string")
     sent = spark.read.parquet(f"{path}/topics").where(F.col("topic") == TOPICS["alerts"])
@@ -164,7 +165,7 @@ def _(spark, d):
 def _(spark, d):
     path = fresh(spark)
     sinks.finish(jobs.score_stream(
-        live(spark, d), jobs.UserHistory(f"{path}/history"), f"{path}/features", AlertStore(spark, f"{path}/alerts"),
+        live(spark, d), BoundedHistory(f"{path}/history"), f"{path}/features", AlertStore(spark, f"{path}/alerts"),
         f"{path}/checkpoint", score=jobs.with_fallback, cross_border=GEO_CROSS_BORDER))
     rows = spark.read.parquet(f"{path}/features")
     return rows.select("transaction_id", *[F.round(n, 6).alias(n) for n in FEATURES])

@@ -19,6 +19,7 @@ from riskweave.operators.joins import merchant_daily_counts, with_user_stats
 from riskweave.operators.projections import enrich_transactions, etl_transform
 from riskweave.schemas import CROSS_BORDER_REGIONS, TOPICS
 from riskweave.sources.stores import AlertStore, read_or_empty, stored_predictions, stored_transactions
+from riskweave.streaming.history import BoundedHistory
 from riskweave.streaming.sinks import json_value_sink, table_sink
 
 
@@ -79,17 +80,21 @@ class UserHistory:
 
 
 def batch_features(
-    batch: DataFrame, batch_id: int, history: UserHistory, ts: str = "ts", sequences: bool = False, **options
+    batch: DataFrame, batch_id: int, history: UserHistory | BoundedHistory, ts: str = "ts", sequences: bool = False, **options
 ) -> DataFrame:
     """Features of a micro-batch as if it followed everything stored before it.
 
     With `sequences` also the previous feature rows of the user, null where there are too few.
     """
     past = history.rows_before(batch, batch_id, ts).withColumn("_new", F.lit(False))
-    both = past.unionByName(batch.withColumn("_new", F.lit(True)))
+    weight = "_weight" if "_weight" in past.columns else None
+    if weight and sequences:
+        raise ValueError("sequences need a UserHistory: features of rows however old")
+    fresh = batch if weight is None else batch.withColumn(weight, F.lit(None).cast("long"))
+    both = past.unionByName(fresh.withColumn("_new", F.lit(True)))
     daily = history.merchant_days(batch, batch_id, ts)
     keep = ["user_id", "amount", "_new", *([ts, "is_fraud"] if sequences else [])]
-    rows = transaction_features(both, ts, merchant_daily=daily, keep=keep, **options)
+    rows = transaction_features(both, ts, merchant_daily=daily, keep=keep, weight=weight, **options)
     if sequences:
         known = sequence_window(rows, ts=ts, keep=["_new"]).where("_new").select("transaction_id", "sequence")
         rows = rows.join(known, "transaction_id", "left").drop(ts, "is_fraud")
@@ -144,7 +149,7 @@ def with_fallback(features: DataFrame) -> DataFrame:
 
 
 def score_stream(
-    df: DataFrame, history: UserHistory, predictions: str, alerts: AlertStore, checkpoint: str,
+    df: DataFrame, history: UserHistory | BoundedHistory, predictions: str, alerts: AlertStore, checkpoint: str,
     score: Callable[[DataFrame], DataFrame] = batch_predict, every: str | None = None, ts: str = "ts",
     publish: Callable[[DataFrame, int], None] | None = None, stats: DataFrame | None = None, **options,
 ) -> StreamingQuery:
