@@ -129,8 +129,8 @@ def latest_counters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def metrics_stream(df: DataFrame, path: str, checkpoint: str, ttl_seconds: int = 3600, ts: str = "ts", every: str | None = None) -> StreamingQuery:
-    """A gauge per user (last processing time) and the counters of all and of fraudulent transactions, kept in
-    two `MetricCache` tables at `path`; the newest time of a batch is its clock."""
+    """A gauge per user (last processing time, with a lifetime) and the counters of all and of fraudulent transactions
+    (without one), kept in two `MetricCache` tables at `path`; the newest time of a batch is its clock."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("user_id", "processing_ms", "is_fraud", ts).where(F.col(ts).isNotNull()).persist()
@@ -145,8 +145,7 @@ def metrics_stream(df: DataFrame, path: str, checkpoint: str, ttl_seconds: int =
             steps = F.array(
                 F.struct(F.lit("etl:total_count").alias("name"), F.lit(1.0).alias("value")),
                 F.struct(F.lit("etl:fraud_count").alias("name"), F.col("is_fraud").cast("double").alias("value")))
-            counters.increment(rows.select(F.explode(steps).alias("_s"), F.col(ts).alias("updated_at")).select("_s.*", "updated_at"),
-                               batch_id, F.lit(now), ttl_seconds)
+            counters.increment(rows.select(F.explode(steps).alias("_s"), F.col(ts).alias("updated_at")).select("_s.*", "updated_at"), batch_id, F.lit(now))
         finally:
             rows.unpersist()
 

@@ -94,32 +94,38 @@ class MetricCache:
     def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.table = KeyedTable(spark, path, ["name"], self.SCHEMA, buckets)
 
-    def set(self, values: DataFrame, batch_id: int, now: Column, ttl_seconds: int = 3600) -> None:
+    def set(self, values: DataFrame, batch_id: int, now: Column, ttl_seconds: int | None = 3600) -> None:
         """The newest value by name (name, value, updated_at); of equal times the larger. Older ones than the stored change nothing."""
         newest = values.groupBy("name").agg(F.max(F.struct("updated_at", "value")).alias("_v")).select("name", "_v.value", "_v.updated_at")
 
         def combine(rows: DataFrame) -> DataFrame:
-            alive = rows.where(F.col("_new") | (F.col("expires_at") > now))
             best = F.max_by(F.struct("value", "updated_at", "expires_at"), F.struct("updated_at", "_new"))
-            return alive.groupBy("name").agg(best.alias("_v")).select("name", "_v.*")
+            return rows.where(F.col("_new") | _alive(now)).groupBy("name").agg(best.alias("_v")).select("name", "_v.*")
 
-        stamped = newest.withColumn("expires_at", F.col("updated_at") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
-        self.table.merge(stamped, batch_id, combine)
+        self.table.merge(_stamped(newest, ttl_seconds), batch_id, combine)
 
-    def increment(self, steps: DataFrame, batch_id: int, now: Column, ttl_seconds: int = 3600) -> None:
-        """Add up steps (name, value, updated_at). A counter whose lifetime has passed starts anew, each step renews it."""
+    def increment(self, steps: DataFrame, batch_id: int, now: Column, ttl_seconds: int | None = None) -> None:
+        """Add up steps (name, value, updated_at). A counter whose lifetime has passed starts anew, each step renews it;
+        without a lifetime (None) it counts for ever."""
         added = steps.groupBy("name").agg(F.sum("value").alias("value"), F.max("updated_at").alias("updated_at"))
 
         def combine(rows: DataFrame) -> DataFrame:
-            alive = rows.where(F.col("_new") | (F.col("expires_at") > now))
-            return alive.groupBy("name").agg(
+            return rows.where(F.col("_new") | _alive(now)).groupBy("name").agg(
                 F.sum("value").alias("value"), F.max("updated_at").alias("updated_at"), F.max("expires_at").alias("expires_at"))
 
-        stamped = added.withColumn("expires_at", F.col("updated_at") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
-        self.table.merge(stamped, batch_id, combine)
+        self.table.merge(_stamped(added, ttl_seconds), batch_id, combine)
 
     def read(self, now: Column, before: int | None = None) -> DataFrame:
-        return self.table.read(before).where(F.col("expires_at") > now).select("name", "value", "updated_at")
+        return self.table.read(before).where(_alive(now)).select("name", "value", "updated_at")
+
+
+def _stamped(rows: DataFrame, ttl_seconds: int | None) -> DataFrame:
+    end = F.lit(None).cast("timestamp") if ttl_seconds is None else F.col("updated_at") + F.make_dt_interval(secs=F.lit(ttl_seconds))
+    return rows.withColumn("expires_at", end)
+
+
+def _alive(now: Column) -> Column:
+    return F.col("expires_at").isNull() | (F.col("expires_at") > now)
 
 
 class CarriedRows:

@@ -22,7 +22,7 @@ def folder(spark, small, tmp_path_factory):
 
 
 def test_all_streams_are_covered():
-    assert len(STREAMS) == 15 and all(n in ORACLES for n in STREAMS)
+    assert len(STREAMS) == 20 and all(n in ORACLES for n in STREAMS)
 
 
 @pytest.mark.parametrize("name", STREAMS)
