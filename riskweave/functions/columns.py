@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -13,6 +14,7 @@ AMOUNT_HIGH, AMOUNT_MEDIUM, LARGE_AMOUNT = 1000, 300, 500
 RISK_CRITICAL, RISK_HIGH, RISK_MEDIUM = 80, 60, 30
 SEVERITY_CRITICAL, SEVERITY_HIGH = 95, 80
 MONEY_DIGITS, MONEY_LIMIT = 6, 1e18
+PART = 1_000_000
 MICROS = 1_000_000
 HOUR, DAY = 3600 * MICROS, 86400 * MICROS
 
@@ -37,16 +39,35 @@ def money(amount: Column, digits: int = MONEY_DIGITS) -> Column:
 
     NaN, infinite amounts and those of 10**18 and more are no money: they count as missing.
     """
-    sound = is_finite(amount) & (F.abs(amount) < MONEY_LIMIT)
-    return F.when(sound, amount).cast(f"decimal({18 + digits},{digits})")
+    return F.when(_sound(amount), amount).cast(f"decimal({18 + digits},{digits})")
+
+
+def _sound(amount: Column) -> Column:
+    """NaN is larger than any limit."""
+    return F.abs(amount) < MONEY_LIMIT
 
 
 def money_sum(amount: Column, digits: int = MONEY_DIGITS) -> Column:
-    return F.sum(money(amount, digits)).cast("double")
+    """The exact sum of amounts, as `money` rounds them (halves go up), null if there are none.
+
+    Three sums of long numbers (millions, units, fractions) stay on the fast path of aggregation, which
+    decimals of this width leave; the total is put together once per group. It holds 9 * 10**12 rows
+    and totals of 9 * 10**24; more raises an error.
+    """
+    sound = _sound(amount)
+    units = F.floor(amount).cast("long")
+    millions = F.floor(units / F.lit(float(PART))).cast("long")
+    fraction = F.floor((amount - units) * F.lit(10**digits) + F.lit(0.5)).cast("long")
+
+    def added(part: Column, place: Decimal) -> Column:
+        return F.sum(F.when(sound, part)).cast("decimal(19,0)") * F.lit(place)
+
+    whole = added(millions, Decimal(PART)) + added(units - millions * PART, Decimal(1))
+    return (whole + added(fraction, Decimal(1).scaleb(-digits))).cast("double")
 
 
 def money_avg(amount: Column, digits: int = MONEY_DIGITS) -> Column:
-    return F.try_divide(money_sum(amount, digits), F.count(money(amount, digits)))
+    return F.try_divide(money_sum(amount, digits), F.count(F.when(_sound(amount), 1)))
 
 
 def sequence_number(df: DataFrame, name: str) -> Column:

@@ -214,6 +214,22 @@ def device_reuse(df: DataFrame) -> DataFrame:
     return df.join(users, "device_id")
 
 
+def users_before(
+    df: DataFrame, entity: str = "device_id", output: str = "device_users_before", ts: str = "ts", **sizes: int
+) -> DataFrame:
+    """How many different users had used the row's device (or another `entity`) before the row.
+
+    Leak-free, unlike `device_reuse`: the first use by each user is a ledger entry of the device, and a
+    row counts the entries before it. A device used by very many is split by time like any hot key. Rows
+    without an entity have null, a missing user counts as one user.
+    """
+    timed = df.withColumn(T, c.micros(F.col(ts)))
+    used = before(timed.where(F.col(entity).isNotNull()), [entity], T, ID, [Measure("_used", F.lit(1), per=("user_id",))], **sizes)
+    fresh = F.when(F.col("_used") == 0, 1).otherwise(0)
+    known = before(used, [entity], T, ID, [Measure(output, fresh)], **sizes).drop("_used", T)
+    return known.unionByName(df.where(F.col(entity).isNull()).withColumn(output, F.lit(None).cast("long")))
+
+
 def channel_diversity(df: DataFrame, ts: str = "ts", **sizes: int) -> DataFrame:
     """Different channels the user has used up to and including this row."""
     seen = _history(df, [Measure("_used", F.lit(1), per=("channel",))], ts, **sizes)

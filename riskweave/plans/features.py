@@ -161,6 +161,23 @@ def _(spark, d):
     return f.device_reuse(lean(spark, d)).select("transaction_id", "device_id", "device_users")
 
 
+def _first_use(entity):
+    return f"CAST(row_number() OVER (PARTITION BY {entity}, user_id ORDER BY ts, transaction_id) = 1 AS INTEGER)"
+
+
+def _users_before(entity, first):
+    frame = f"(PARTITION BY {entity} ORDER BY ts, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"CASE WHEN {entity} IS NOT NULL THEN CAST(coalesce(sum({first}) OVER {frame}, 0) AS BIGINT) END AS {entity}_users"
+
+
+@query("users_before", txn(f"""WITH n AS (SELECT *, {_first_use('device_id')} AS d, {_first_use('merchant')} AS m FROM txn)
+  SELECT transaction_id, {_users_before('device_id', 'd')}, {_users_before('merchant', 'm')} FROM n"""))
+def _(spark, d):
+    rows = lean(spark, d).select("transaction_id", "user_id", "ts", "device_id", "merchant")
+    known = f.users_before(f.users_before(rows, "device_id", "device_id_users"), "merchant", "merchant_users")
+    return known.select("transaction_id", "device_id_users", "merchant_users")
+
+
 @query("amount_ratio_30d", txn(f"SELECT transaction_id, round(amount / nullif({MEAN_SQL}, 0), 8) AS amount_ratio_30d FROM txn"))
 def _(spark, d):
     return f.amount_ratio(lean(spark, d)).select("transaction_id", F.round("amount_ratio_30d", 8).alias("amount_ratio_30d"))

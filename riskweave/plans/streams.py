@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.functions import columns as c
 from riskweave.operators import projections as p
+from riskweave.operators.joins import user_stats, with_user_stats
 from riskweave.plans.registry import iso_sql, money_avg_sql, query, txn
 from riskweave.plans.rows import ENRICH_SQL, json_messages
 from riskweave.plans.windows import (
@@ -24,6 +25,7 @@ from riskweave.sources.stores import AlertStore
 from riskweave.sources.tables import as_transactions, table, transactions, user_regions
 from riskweave.streaming import aggregates as w, jobs, live as metrics, sinks
 from riskweave.streaming.history import BoundedHistory
+from riskweave.streaming.refreshed import VersionedTable, refreshed_join
 from riskweave.streaming.sources import is_folder, stream_source
 
 
@@ -125,17 +127,27 @@ def _(spark, d):
     return spark.read.parquet(f"{path}/out").select("transaction_id", "user_id", "amount")
 
 
-@query("stream_user_stats", txn(f"""SELECT transaction_id, user_txns, user_avg_amount, user_frauds FROM txn JOIN (SELECT user_id, count(*) AS user_txns,
-  round({money_avg_sql('amount')}, 4) AS user_avg_amount, count(*) FILTER (WHERE is_fraud) AS user_frauds FROM txn GROUP BY 1) USING (user_id)"""))
-def _(spark, d):
-    from riskweave.operators.joins import user_stats, with_user_stats
+USER_STATS_SQL = txn(f"""SELECT transaction_id, user_txns, user_avg_amount, user_frauds FROM txn JOIN (SELECT user_id, count(*) AS user_txns,
+  round({money_avg_sql('amount')}, 4) AS user_avg_amount, count(*) FILTER (WHERE is_fraud) AS user_frauds FROM txn GROUP BY 1) USING (user_id)""")
+
 
+@query("stream_user_stats", USER_STATS_SQL)
+def _(spark, d):
     path = fresh(spark)
     joined = with_user_stats(live(spark, d, region=False), user_stats(transactions(spark, d, region=False)))
     sinks.finish(sinks.table_sink(joined, f"{path}/out", f"{path}/checkpoint"))
     return spark.read.parquet(f"{path}/out").select("transaction_id", "user_txns", "user_avg_amount", "user_frauds")
 
 
+@query("stream_refreshed_user_stats", USER_STATS_SQL)
+def _(spark, d):
+    path = fresh(spark)
+    totals = VersionedTable(spark, f"{path}/totals")
+    totals.publish(user_stats(transactions(spark, d, region=False)))
+    sinks.finish(refreshed_join(live(spark, d, region=False), totals, ["user_id"], f"{path}/out", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/out").select("transaction_id", "user_txns", "user_avg_amount", "user_frauds")
+
+
 @query("stream_scores", txn(f"""SELECT transaction_id, least(1.0::DOUBLE, amount / 1000.0) AS fraud_probability FROM txn"""))
 def _(spark, d):
     path = fresh(spark)

@@ -27,3 +27,14 @@ def folders(spark: SparkSession, path: str, name: str) -> list[int]:
 def drop_folder(spark: SparkSession, path: str) -> None:
     place, files = _place(spark, path)
     files.delete(place, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.mkdirs(place)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether the job that writes this table has ended."""
+    place, files = _place(spark, f"{path}/_SUCCESS")
+    return files.exists(place)

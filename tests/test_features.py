@@ -136,3 +136,14 @@ def test_device_reuse(spark):
     df = spark.createDataFrame(make(random.Random(8), 50), SCHEMA)
     want = {d: n for d, n in df.groupBy("device_id").agg(F.count_distinct("user_id")).collect()}
     assert all(x["device_users"] == want[x["device_id"]] for x in f.device_reuse(df).collect())
+
+
+@pytest.mark.parametrize("sizes", [{}, {"hot_rows": 4, "chunk_rows": 3}])
+def test_users_of_a_device_before_the_row(spark, sizes):
+    rng = random.Random(18)
+    rows = [(i, rng.choice([1, 2, 3, 4, None]), START + timedelta(hours=rng.randint(0, 9)), rng.choice(["hot", "hot", "d", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "transaction_id long, user_id long, ts timestamp, device_id string")
+    got = {x["transaction_id"]: x["device_users_before"] for x in f.users_before(df, **sizes).collect()}
+    want = {i: None if d is None else len({p[1] for p in rows if p[3] == d and (p[2], p[0]) < (ts, i)}) for i, _, ts, d in rows}
+    assert got == want
+    assert f.users_before(df.where("false"), **sizes).collect() == []

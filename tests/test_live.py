@@ -13,6 +13,7 @@ from riskweave.session import shared_dir
 from riskweave.sources.stores import AlertStore, backfill
 from riskweave.sources.tables import transactions
 from riskweave.streaming import lifecycle, live, sinks
+from riskweave.streaming.refreshed import VersionedTable, refreshed_join
 from riskweave.streaming.state import KeyedTable, MetricCache
 
 PARTS = 5
@@ -216,3 +217,53 @@ def test_a_stream_that_never_recovers_is_given_up(spark, in_order):
 
     with pytest.raises(Exception, match="always broken"):
         lifecycle.supervised({"etl": start}, restarts=1, pause=0.0)
+
+
+def test_totals_published_between_batches_reach_the_later_batch_only(spark):
+    path, schema = fresh(spark), "user_id long, amount double"
+    source = f"{path}/in"
+    totals = VersionedTable(spark, f"{path}/totals")
+
+    def publish(txns):
+        return totals.publish(spark.createDataFrame([(1, txns)], "user_id long, user_txns long"))
+
+    def run(value):
+        spark.createDataFrame([(1, value), (2, value), (None, value)], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        sinks.finish(refreshed_join(stream, totals, ["user_id"], f"{path}/out", f"{path}/checkpoint"))
+
+    def seen():
+        rows = spark.read.parquet(f"{path}/out").collect()
+        assert all(r["user_txns"] is None for r in rows if r["user_id"] != 1) and len({r["amount"] for r in rows}) * 3 == len(rows)
+        return {r["amount"]: r["user_txns"] for r in rows if r["user_id"] == 1}
+
+    publish(10)
+    run(0.0)
+    publish(20)
+    run(1.0)
+    publish(30)
+    assert seen() == {0.0: 10, 1.0: 20}
+    # The last batch is repeated, as after a crash before its commit: it reads the version it noted.
+    commits = Path(f"{path}/checkpoint/commits".removeprefix("file:"))
+    for commit in (commits / "1", commits / ".1.crc"):
+        commit.unlink()
+    run(2.0)
+    assert seen() == {0.0: 10, 1.0: 20, 2.0: 30}
+
+
+def test_published_versions_do_not_pile_up(spark):
+    totals = VersionedTable(spark, fresh(spark))
+    with pytest.raises(ValueError):
+        totals.read("a", 0)
+    for n in range(6):
+        totals.publish(spark.createDataFrame([(n,)], "n long"))
+        totals.read("a", n)
+    assert totals.versions() == [3, 4, 5]
+    assert totals.read("a", 4).first()["n"] == 4 and totals.read("a", 5).first()["n"] == 5
+    totals.read("slow", 0)
+    for n in range(6, 9):
+        totals.publish(spark.createDataFrame([(n,)], "n long"))
+        totals.read("a", n)
+    assert totals.read("slow", 0).first()["n"] == 5
+    totals.forget("slow")
+    assert totals.publish(spark.createDataFrame([(9,)], "n long")) == 9 and totals.versions() == [7, 8, 9]

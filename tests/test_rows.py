@@ -119,3 +119,21 @@ def test_recent_rows_are_ranked_before_the_exchange(spark, small):
     rows = recent_per_key(transactions(spark, small, region=False), ["merchant"], 5)
     assert "WindowGroupLimit" in rows._jdf.queryExecution().executedPlan().toString()
     assert rows.groupBy("merchant").count().agg(F.max("count")).first()[0] == 5
+
+
+def test_money_sums_are_exact_in_any_order_and_size(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rng = random.Random(5)
+    sound = [round(rng.uniform(-1e6, 1e6), rng.randint(0, 6)) for _ in range(3000)] + [9.5e17] * 60 + [-1e17, 0.1, -0.000001]
+    rows = [(1, x) for x in sound] + [(1, x) for x in (None, INF, -INF, float("nan"), 1e18)] + [(2, None), (2, INF)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, x double").repartition(7)
+    exact = sum(Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP) for x in sound)
+    x = F.col("x")
+    got = {r["k"]: r for r in df.groupBy("k").agg(c.money_sum(x).alias("s"), c.money_avg(x).alias("m"), c.money_sum(x, 2).alias("c")).collect()}
+    assert got[1]["s"] == float(exact) and got[1]["m"] == float(exact) / len(sound)
+    assert got[1]["c"] == pytest.approx(float(exact)) and got[2]["s"] is None and got[2]["m"] is None
+    paid = spark.createDataFrame([(Decimal("-12.34567800"),), (Decimal("3.10000000"),)], "x decimal(30,8)")
+    assert paid.agg(c.money_sum(x)).first()[0] == -9.245678
