@@ -81,9 +81,14 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
 
 
+def _key() -> Column:
+    """What a row's places are made of: its id and its text."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(whole_text().cast("binary"))))
+
+
 def _place(seed: int) -> Column:
-    """Where a document stands in its source's permutation: 60 bits of a digest that SQL engines share."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("_text_md5")))
+    """Where a row stands in its source's permutation of a pass: 60 bits of a digest that SQL engines share."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("mix_pass").cast("string"), F.lit(":"), F.col("_key")))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
@@ -95,11 +100,14 @@ def draws(
     seed: int = 1,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """A row per document and pass of the mixture: _row, doc_id, source, mix_pass, mix_block, mix_tokens.
+    """A row per document and pass of the mixture: _row, doc_id, source, mix_pass, mix_block, mix_position, mix_tokens.
 
     The budget is counted in words and defaults to those of all documents. Pass 0, 1, ... takes every
     document of its source while the source's budget covers whole passes; the last pass takes the
-    documents whose words, summed up in the order of the permutation, end within what is left.
+    documents whose words, summed up in the order of the permutation, end within what is left. So a
+    source gets its weight of the budget less one document at most: where the first one that does not
+    fit ends the pass, smaller ones behind it are not put in its place, which would favour short texts.
+    Each pass is a permutation of its own; `mix_position` is the row's place in it, gapless from 0.
     Null sources are a source of their own; wordless and null texts cost nothing, and a source
     that has only such texts is left out. Equal rows share a place in the permutation and are ordered
     by `_row`, their number in the scan. An empty table gives an empty one.
@@ -108,10 +116,9 @@ def draws(
     documents, and running sums go over runs of blocks, blocks and documents in turn, so that no window
     holds more than some thousand rows. The driver sees one number per source.
     """
-    text = whole_text()
     rows = stored(
-        docs.select("doc_id", "source", word_count(text).alias("mix_tokens"), F.md5(text.cast("binary")).alias("_text_md5"))
-        .withColumn("_place", _place(seed)).drop("_text_md5").withColumn("_row", row_number(docs)),
+        docs.select("doc_id", "source", word_count(whole_text()).alias("mix_tokens"), _key().alias("_key"))
+        .withColumn("_row", row_number(docs)),
         "mix-rows",
     )
     sizes = rows.groupBy("source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("rows")).collect()
@@ -121,44 +128,54 @@ def draws(
 
     plan = []
     for r in sizes:
-        share = mixture.weights.get(r["source"], 0.0) * budget
-        whole = int(share // r["tokens"]) if r["tokens"] else 0
-        left = math.floor(share - whole * r["tokens"]) if r["tokens"] else -1
+        if not r["tokens"]:
+            continue
+        share = mixture.weights[r["source"]] * budget
+        whole = int(share // r["tokens"])
+        left = math.floor(share - whole * r["tokens"])
         plan.append((r["source"], whole, left, max(1, -(-r["rows"] // block_rows))))
     wanted = docs.sparkSession.createDataFrame(plan, "_source string, _whole long, _left long, _blocks long")
     placed = (
         rows.join(F.broadcast(wanted), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        .withColumn("mix_pass", F.explode(F.expr("sequence(0, cast(_whole as int))")))
+        .withColumn("_place", _place(seed)).drop("_key")
         .withColumn("mix_block", F.expr("_place div (1152921504606846975 div _blocks + 1)"))
     )
     return _drawn(placed)
 
 
 def _drawn(placed: DataFrame) -> DataFrame:
-    """Whole passes, and the part of the permutation that the rest of the budget pays for."""
+    """Whole passes, and the part of the last one's permutation that the rest of the budget pays for."""
     earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    same = F.col("source").eqNullSafe(F.col("_s"))
+    before = lambda name, window: F.coalesce(F.sum(name).over(window), F.lit(0))
     blocks = (
-        placed.groupBy("source", "mix_block").agg(F.sum("mix_tokens").alias("_sum"))
+        placed.groupBy("source", "mix_pass", "mix_block").agg(F.sum("mix_tokens").alias("_sum"), F.count("*").alias("_n"))
         .withColumn("_run", F.floor(F.col("mix_block") / 4096))
     )
-    runs = blocks.groupBy("source", "_run").agg(F.sum("_sum").alias("_run_sum"))
+    of_source, of_run = earlier("source", "mix_pass").orderBy("_run"), earlier("source", "mix_pass", "_run").orderBy("mix_block")
+    runs = blocks.groupBy("source", "mix_pass", "_run").agg(F.sum("_sum").alias("_run_sum"), F.sum("_n").alias("_run_n"))
     runs = runs.select(
-        F.col("source").alias("_s"), F.col("_run").alias("_r"),
-        F.coalesce(F.sum("_run_sum").over(earlier("source").orderBy("_run")), F.lit(0)).alias("_run_start"),
+        F.col("source").alias("_s"), F.col("mix_pass").alias("_p"), F.col("_run").alias("_r"),
+        before("_run_sum", of_source).alias("_run_start"), before("_run_n", of_source).alias("_run_first"),
     )
+    same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("mix_pass") == F.col("_p"))
     starts = (
-        blocks.withColumn("_in_run", F.coalesce(F.sum("_sum").over(earlier("source", "_run").orderBy("mix_block")), F.lit(0)))
+        blocks.withColumns({"_in_run": before("_sum", of_run), "_in_run_n": before("_n", of_run)})
         .join(runs, same & (F.col("_run") == F.col("_r")))
-        .select(F.col("source").alias("_s"), F.col("mix_block").alias("_b"), (F.col("_run_start") + F.col("_in_run")).alias("_start"))
+        .select(
+            F.col("source").alias("_s"), F.col("mix_pass").alias("_p"), F.col("mix_block").alias("_b"),
+            (F.col("_run_start") + F.col("_in_run")).alias("_start"), (F.col("_run_first") + F.col("_in_run_n")).alias("_first"),
+        )
     )
-    order = Window.partitionBy("source", "mix_block").orderBy("_place", "_row").rowsBetween(Window.unboundedPreceding, 0)
-    paid = F.when(F.col("_start") + F.col("_upto") <= F.col("_left"), 1).otherwise(0)
+    order = Window.partitionBy("source", "mix_pass", "mix_block").orderBy("_place", "_row")
+    upto = F.sum("mix_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.col("mix_pass") < F.col("_whole")
     return (
-        placed.withColumn("_upto", F.sum("mix_tokens").over(order))
-        .join(starts, same & (F.col("mix_block") == F.col("_b")))
-        .withColumn("_times", (F.col("_whole") + paid).cast("int")).where("_times > 0")
-        .withColumn("mix_pass", F.explode(F.expr("sequence(0, _times - 1)")))
-        .select("_row", "doc_id", "source", "mix_pass", "mix_block", "mix_tokens")
+        placed.join(starts, same & (F.col("mix_block") == F.col("_b")))
+        .where(whole | (F.col("_start") <= F.col("_left")))  # blocks beyond the budget need no sort
+        .withColumns({"_upto": upto, "mix_position": F.col("_first") + F.row_number().over(order) - 1})
+        .where(whole | (F.col("_start") + F.col("_upto") <= F.col("_left")))
+        .select("_row", "doc_id", "source", "mix_pass", "mix_block", "mix_position", "mix_tokens")
     )
 
 

@@ -9,6 +9,7 @@ the frequencies and sums them per document.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,27 @@ SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 _FIELDS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
 
+def check_tokenizer(path: str) -> None:
+    """An error unless the file splits texts as `PRE_TOKEN` supposes, for else counts would be wrong in silence."""
+    with open(path, encoding="utf-8") as f:
+        settings = json.load(f)
+    split = settings.get("pre_tokenizer") or {}
+    model = settings["model"]
+    wrong = [
+        name for name, there in [
+            ("a normaliser", settings.get("normalizer")),
+            ("another split than ByteLevel with its rule", split.get("type") != "ByteLevel" or not split.get("use_regex", True)),
+            ("a space put before texts", split.get("add_prefix_space")),
+            ("another model than BPE", model.get("type", "BPE") != "BPE"),
+            ("merges at random", model.get("dropout")),
+            ("added tokens that strip or want whole words", any(
+                t.get(k) for t in settings.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip"))),
+        ] if there
+    ]
+    if wrong:
+        raise ValueError(f"{path} has {', '.join(wrong)}; token_counts counts byte-level BPE files only")
+
+
 class PieceCounter:
     """Piece counts of distinct pre-tokens, and the counts of documents made from them."""
 
@@ -102,6 +124,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, block_
     For byte-level BPE files of the `tokenizers` library with its usual splitting rule. The file must
     lie at the same place on all machines. Null texts count as empty (0 bytes, 0 tokens), repeated
     rows are counted each, an empty table gives none. Nothing is shuffled: the distinct pre-tokens of
-    a block of `block_bytes` bytes stay in the task, which a longer text may exceed by itself.
+    a block of `block_bytes` bytes stay in the task, which a longer text may exceed by itself. A file with
+    other rules raises an error.
     """
+    check_tokenizer(tokenizer_path)
     return docs.select("doc_id", "text").mapInArrow(_counting(tokenizer_path, limit, block_bytes), SCHEMA)

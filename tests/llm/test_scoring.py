@@ -2,6 +2,7 @@ import math
 import random
 import re
 from collections import Counter
+from hashlib import md5
 
 import numpy as np
 import pytest
@@ -187,6 +188,47 @@ def test_draws_realise_the_weights(spark):
     assert mixed(docs).columns == docs.columns and {r["_row"] for r in mixed(docs).collect()} == {7}
 
 
+def plain_draws(rows, seed=1):
+    """The rows of the mixture in order, by one loop over each source and pass."""
+    words = {i: len((text or "").split()) for i, text, _ in rows}
+    tokens = Counter()
+    for i, _, source in rows:
+        tokens[source] += words[i]
+    budget, out = sum(tokens.values()), set()
+    mixture = temperature(dict(tokens), budget)
+    for source, weight in mixture.weights.items():
+        share = weight * budget
+        whole = int(share // tokens[source])
+        for k in range(whole + 1):
+            def place(row):
+                key = md5(f"{row[0]}:{md5((row[1] or '').encode()).hexdigest()}".encode()).hexdigest()
+                return int(md5(f"{seed}:{k}:{key}".encode()).hexdigest()[:15], 16)
+
+            left = share - whole * tokens[source] if k == whole else math.inf
+            for position, row in enumerate(sorted((r for r in rows if r[2] == source), key=place)):
+                left -= words[row[0]]
+                if left < 0:
+                    break
+                out.add((row[0], source, k, position, words[row[0]]))
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [3, 4096])
+def test_draws_equal_a_plain_version(spark, block_rows):
+    rng = random.Random(15)
+    rows = [(i, None if i % 41 == 0 else prose(i, rng.randint(0, 30)), rng.choice(["big"] * 9 + ["small", None])) for i in range(400)]
+    rows += [(400, prose(400, 5_000), "long"), (401, "one", "long"), (402, None, "wordless")]
+    got = draws(saved(spark.createDataFrame(rows, "doc_id long, text string, source string")), block_rows=block_rows).collect()
+    want = plain_draws(rows)
+    assert {(r["doc_id"], r["source"], r["mix_pass"], r["mix_position"], r["mix_tokens"]) for r in got} == want and len(got) == len(want)
+    passes = {}
+    for r in got:
+        passes.setdefault((r["source"], r["mix_pass"]), []).append((r["mix_position"], r["doc_id"]))
+    assert all([p for p, _ in sorted(x)] == list(range(len(x))) for x in passes.values())
+    first, second = ([i for _, i in sorted(passes["small", k])] for k in (0, 1))
+    assert set(second) <= set(first) and first[: len(second)] != second
+
+
 def test_block_size_and_row_order_do_not_change_the_draw(spark):
     docs = documents(spark, [prose(i, 5) for i in range(300)])
     one = Counter(r["doc_id"] for r in draws(docs, budget=700).collect())

@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import public_tokenizers
 import pytest
@@ -7,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from riskweave.llm import chat_format as chat
-from riskweave.llm.token_counts import PieceCounter, token_counts
+from riskweave.llm.token_counts import PieceCounter, check_tokenizer, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
@@ -89,3 +90,14 @@ def test_escaping_is_reversible(text, role):
 def test_unknown_parts_are_an_error():
     with pytest.raises(ValueError):
         chat.format_turn("user", [{"type": "video"}])
+
+
+def test_a_tokenizer_with_other_rules_is_refused(spark, tmp_path):
+    check_tokenizer(PATH)
+    with open(PATH, encoding="utf-8") as f:
+        rules = json.load(f)
+    other = tmp_path / "other.json"
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": None}, {"pre_tokenizer": {**rules["pre_tokenizer"], "add_prefix_space": True}}):
+        other.write_text(json.dumps(rules | change))
+        with pytest.raises(ValueError):
+            token_counts(no_rows(spark), str(other))
