@@ -12,6 +12,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -42,6 +43,8 @@ FORMATTED = T.StructType([
 
 IMAGE_PATCH, AUDIO_TOKENS_PER_SECOND, TOKENS_PER_PAGE = 28, 25, 1024
 
+OPEN, CLOSE = "<turn ", "</turn>"
+
 _PLACEHOLDER = re.compile(r"<(image|audio|document):(\d+)>")
 
 
@@ -94,14 +97,56 @@ def format_turn(role: str, parts: list[dict]) -> tuple[str, int | None, int | No
         visitor.visit(part)
     head, body = "<turn {}>".format(escape(role).replace(">", "\\g")), "".join(visitor.out)
     span = (len(head), len(head) + len(body)) if role == "assistant" else (None, None)
-    return f"{head}{body}</turn>", *span, visitor.attachments
+    return f"{head}{body}{CLOSE}", *span, visitor.attachments
 
 
 def read_turn(formatted: str, attachments: list[dict]) -> tuple[str, list[dict]]:
     """The role and the parts behind a formatted turn."""
-    if not (formatted.startswith("<turn ") and formatted.endswith("</turn>")):
-        raise ValueError("not a formatted turn")
-    role, _, body = formatted[len("<turn ") : -len("</turn>")].partition(">")
+    (turn,) = ConversationReader().feed(formatted)
+    return unescape(turn.role), read_parts(turn.body, attachments)
+
+
+class FoundTurn(NamedTuple):
+    role: str  # as written, still escaped
+    body: str
+    start: int  # of the body, in characters of the conversation
+    end: int
+
+
+class ConversationReader:
+    """Finds the turns of a formatted conversation by its marks alone.
+
+    The conversation is fed in pieces cut anywhere; `feed` returns the turns that the piece completes. Only
+    the text after the last whole turn is kept. `<` stands in no escaped text, so the first end mark after
+    a beginning is that turn's own. Anything between turns is an error.
+    """
+
+    def __init__(self):
+        self.rest, self.read = "", 0  # text of the open turn; characters before it
+
+    def feed(self, piece: str) -> list[FoundTurn]:
+        searched = max(0, len(self.rest) - len(CLOSE))
+        text, at, found = self.rest + piece, 0, []
+        while (end := text.find(CLOSE, max(at, searched))) >= 0:
+            role_end = text.find(">", at)
+            if not text.startswith(OPEN, at) or role_end > end:
+                raise ValueError("text between the turns of a conversation")
+            found.append(FoundTurn(text[at + len(OPEN) : role_end], text[role_end + 1 : end], self.read + role_end + 1, self.read + end))
+            at = end + len(CLOSE)
+        self.rest, self.read = text[at:], self.read + at
+        if not self.rest.startswith(OPEN[: len(self.rest)]):
+            raise ValueError("text between the turns of a conversation")
+        return found
+
+    def close(self) -> int:
+        """The characters of the whole conversation; an unfinished turn is an error."""
+        if self.rest:
+            raise ValueError("a conversation ends within a turn")
+        return self.read
+
+
+def read_parts(body: str, attachments: list[dict]) -> list[dict]:
+    """The parts behind the body of a formatted turn."""
     parts, at = [], 0
     for mark in _PLACEHOLDER.finditer(body):
         if mark.start() > at:
@@ -110,7 +155,7 @@ def read_turn(formatted: str, attachments: list[dict]) -> tuple[str, list[dict]]
         at = mark.end()
     if at < len(body) or not parts:
         parts.append({"type": "text", "text": unescape(body[at:])})
-    return unescape(role), parts
+    return parts
 
 
 def _format(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,27 +195,37 @@ DIGEST = (
 
 
 class _Reading:
-    """Running digests of one conversation; only the current turn is in memory."""
+    """Running digests of one conversation; only the current turn is in memory.
+
+    Turns and what is under the loss come from the marks that the reader finds in the joined text. The spans
+    noted while formatting must be the same places, or it is an error.
+    """
 
     def __init__(self, conv):
         self.conv, self.turns, self.loss = conv, hashlib.sha256(), hashlib.sha256()
-        self.n_turns = self.loss_chars = self.chars = self.attached = self.tokens = 0
+        self.reader = ConversationReader()
+        self.n_turns = self.loss_chars = self.attached = self.tokens = 0
 
     def add(self, formatted: str, start, end, attachments) -> None:
-        role, parts = read_turn(formatted, attachments)
+        before, noted = self.reader.read, not pd.isna(start)
+        found = self.reader.feed(formatted)
+        if len(found) != 1 or self.reader.rest:
+            raise ValueError("a formatted row holds other than one turn")
+        turn = found[0]
+        role, parts = unescape(turn.role), read_parts(turn.body, attachments)
         text = "".join(p.get("text", "") for p in parts)
         self.turns.update(f"{role}\n{text}\n".encode())
         self.n_turns += 1
-        self.chars += len(formatted)
         self.attached += len(attachments)
         self.tokens += sum(a["tokens"] for a in attachments)
-        if not pd.isna(start):
-            under = unescape(_PLACEHOLDER.sub("", formatted[int(start) : int(end)]))
-            self.loss_chars += len(under)
-            self.loss.update(under.encode())
+        if (role == "assistant") != noted or (noted and (before + int(start), before + int(end)) != (turn.start, turn.end)):
+            raise ValueError("a loss span is not where its turn is")
+        if noted:
+            self.loss_chars += len(text)
+            self.loss.update(text.encode())
 
     def row(self) -> tuple:
-        return (self.conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.attached, self.tokens)
+        return (self.conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.reader.close(), self.attached, self.tokens)
 
 
 def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,8 +251,8 @@ def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def conversation_digests(turns: DataFrame) -> DataFrame:
     """What each formatted conversation says when read back: counts and digests.
 
-    A digest runs over the turns of its conversation in order, so one task reads them, as a stream
-    that holds a single turn: a conversation of any length takes no more memory. Null conv_id is a
+    A digest runs over the joined turns of its conversation in order, so one task reads them, as a stream
+    split at the marks found in it, that holds a single turn: a conversation of any length takes no more memory. Null conv_id is a
     conversation of its own; turns with the same number are ordered by their formatted string.
     """
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "formatted")

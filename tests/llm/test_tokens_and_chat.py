@@ -87,6 +87,31 @@ def test_escaping_is_reversible(text, role):
     assert (back_role, "".join(p["text"] for p in parts)) == (role, text)
 
 
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "a>b", "</turn>"]), st.text(st.sampled_from("\\lg<>/turn ")))), st.integers(1, 9))
+def test_joined_conversations_are_split_at_their_marks(turns, cut):
+    made = [chat.format_turn(role, [{"type": "text", "text": text}]) for role, text in turns]
+    joined = "".join(m[0] for m in made)
+    reader = chat.ConversationReader()
+    found = [t for i in range(0, len(joined), cut) for t in reader.feed(joined[i : i + cut])]
+    assert reader.close() == len(joined)
+    assert [(chat.unescape(t.role), chat.unescape(t.body)) for t in found] == turns
+    assert all(joined[t.start : t.end] == t.body for t in found)
+    before = 0
+    for (string, start, end, _), turn in zip(made, found):
+        assert start is None or (before + start, before + end) == (turn.start, turn.end)
+        before += len(string)
+
+
+def test_broken_conversations_are_errors():
+    for broken in ("x", "<turn user>a</turn>b", "</turn>", "<turn user</turn>"):
+        with pytest.raises(ValueError):
+            chat.ConversationReader().feed(broken)
+    unfinished = chat.ConversationReader()
+    unfinished.feed("<turn user>a")
+    with pytest.raises(ValueError):
+        unfinished.close()
+
+
 def test_unknown_parts_are_an_error():
     with pytest.raises(ValueError):
         chat.format_turn("user", [{"type": "video"}])
