@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.functions.history import Measure, before
 from riskweave.session import materialize
 
 # A sketch of this accuracy errs by 1/10,000 of the rows; the brackets are ten times as wide.
 SKETCH_ACCURACY, BRACKET = 10_000, 0.001
+# Values a mergeable sketch keeps exactly.
+SKETCH_SIZE = 4096
 
 
 def with_rows_below(counts: DataFrame, by: Sequence[str] = (), order: str = "value", **sizes: int) -> DataFrame:
@@ -24,13 +27,16 @@ def with_rows_below(counts: DataFrame, by: Sequence[str] = (), order: str = "val
 def exact_percentiles(
     df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), **sizes: int
 ) -> DataFrame:
-    """Linearly interpolated percentiles, one column per entry of `probs`.
+    """Linearly interpolated percentiles per group, one column per entry of `probs`; without groups as
+    `exact_percentiles_of`, in one row.
 
     A quantile sketch first brackets each rank. One pass then counts equal values inside the brackets,
     about a five-hundredth of the rows each, and everything between them as a whole; the small
     result is written, ranked by balanced running totals, and a percentile is read at the values that
     cover its rank. Null and NaN are left out, null groups are groups.
     """
+    if not by:
+        return exact_percentiles_of(df, [value], probs, **sizes).drop("metric", "count")
     by, ends = list(by), len(probs)
     x = F.col(value).cast("double")
     rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("value"))
@@ -38,7 +44,7 @@ def exact_percentiles(
     sketch = F.percentile_approx("value", F.array(*[F.lit(p) for p in around]), SKETCH_ACCURACY)
     limits = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(sketch.alias("_ends"), F.count("*").alias("_rows"))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]
-    joined = rows.join(limits, reduce(and_, same)) if by else rows.crossJoin(F.broadcast(limits))
+    joined = rows.join(limits, reduce(and_, same))
 
     end = [F.col("_ends")[i] for i in range(2 * ends)]
     # A bracket has to reach two ranks to either side, which those of few rows do not: these are inside as a whole.
@@ -51,7 +57,7 @@ def exact_percentiles(
     )
     totals = counts.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(F.sum("n").alias("_total"))
     ranked = with_rows_below(counts, by, **sizes)
-    joined = ranked.join(totals, reduce(and_, same)) if by else ranked.crossJoin(F.broadcast(totals))
+    joined = ranked.join(totals, reduce(and_, same))
     below, upto = F.col("below"), F.col("below") + F.col("n")
 
     def at(rank):
@@ -64,3 +70,65 @@ def exact_percentiles(
         part = F.max(rank - F.floor(rank))
         columns.append((low + (high - low) * part).alias(name))
     return joined.groupBy(*by).agg(*columns)
+
+
+def exact_percentiles_of(
+    df: DataFrame, names: Sequence[str], probs: dict[str, float], also: dict[str, Callable[[Column], Column]] | None = None,
+    **sizes: int,
+) -> DataFrame:
+    """(metric, count, what `also` aggregates, a percentile per entry of `probs`), a row per column of `names`.
+
+    The rows stay wide. One scan takes the count, the sketch and the `also` aggregates of all columns and
+    brings one row to the driver. The next counts what lies below each bracket, the last hands on the values
+    inside of them, about a five-hundredth of the rows each; equal values are counted together, the result is
+    written and ranked by balanced running totals. Null and NaN are left out; a column without values has nulls.
+    """
+    names, also, spark = list(names), also or {}, df.sparkSession
+    clean = [F.col(n).cast("double") for n in names]
+    rows = df.select(*[F.when(~F.isnan(x), x).alias(f"_{i}") for i, x in enumerate(clean)])
+    around = [max(0.0, p - BRACKET) for p in probs.values()] + [min(1.0, p + BRACKET) for p in probs.values()]
+    aggregates = []
+    for i in range(len(names)):
+        x = F.col(f"_{i}")
+        aggregates += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, around, SKETCH_ACCURACY).alias(f"ends{i}")]
+        aggregates += [make(x).alias(f"{name}{i}") for name, make in also.items()]
+    seen = rows.agg(*aggregates).first()
+
+    cells = []  # column, name of the percentile, its bracket, its rank
+    for i in range(len(names)):
+        n = seen[f"n{i}"]
+        for j, (name, p) in enumerate(probs.items() if n else ()):
+            # A bracket has to reach two ranks to either side, which those of few rows do not: all values are inside.
+            low, high = (-math.inf, math.inf) if n < 4 / BRACKET else (seen[f"ends{i}"][j], seen[f"ends{i}"][len(probs) + j])
+            cells.append((len(cells), i, name, low, high, (n - 1) * float(p)))
+    found = {}
+    if cells:
+        x = lambda cell: F.col(f"_{cell[1]}")
+        below = rows.agg(*[F.count_if(x(c) < F.lit(c[3])).alias(f"c{c[0]}") for c in cells]).first()
+        pairs = [F.when((x(c) >= F.lit(c[3])) & (x(c) <= F.lit(c[4])), F.struct(F.lit(c[0]).alias("cell"), x(c).alias("value"))) for c in cells]
+        inside = rows.select(F.explode(F.array_compact(F.array(*pairs))).alias("_p")).groupBy("_p.cell", "_p.value").agg(F.count("*").alias("n"))
+        ranked = with_rows_below(materialize(inside), ["cell"], **sizes)
+        ranks = spark.createDataFrame([(c[0], int(below[c[0]]), c[5]) for c in cells], "cell int, _before long, _rank double")
+        first = F.col("_before") + F.col("below")
+        at = lambda rank: F.max(F.when((first <= rank) & (rank < first + F.col("n")), F.col("value")))
+        near = ranked.join(F.broadcast(ranks), "cell").groupBy("cell").agg(
+            at(F.floor("_rank")).alias("low"), at(F.ceil("_rank")).alias("high"), F.max(F.col("_rank") - F.floor("_rank")).alias("part"))
+        found = {cells[r["cell"]][1:3]: r["value"] for r in near.select("cell", (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("value")).collect()}
+    out = [(m, seen[f"n{i}"], *[seen[f"{a}{i}"] for a in also], *[found.get((i, p)) for p in probs]) for i, m in enumerate(names)]
+    return spark.createDataFrame(out, ", ".join(["metric string", "count long", *[f"`{c}` double" for c in [*also, *probs]]]))
+
+
+def sketched(value: str) -> Column:
+    """A mergeable quantile sketch of a column, as an aggregate; null and NaN are left out."""
+    x = F.col(value).cast("double")
+    return F.kll_sketch_agg_double(F.when(~F.isnan(x), x), F.lit(SKETCH_SIZE))
+
+
+def sketch_percentiles(sketches: DataFrame, probs: dict[str, float], by: Sequence[str] = (), sketch: str = "sketch") -> DataFrame:
+    """Percentiles of merged sketches, per group of `by`: the smallest value whose rank reaches the share.
+
+    Exact up to `SKETCH_SIZE` values a group, beyond that off by about 0.1 % of the ranks. Sketches of
+    any windows, streams or tables can be merged.
+    """
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double(sketch, F.lit(SKETCH_SIZE)).alias("_merged"))
+    return merged.select(*by, *[F.kll_sketch_get_quantile_double("_merged", F.lit(float(p))).alias(n) for n, p in probs.items()])

@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from riskweave.session import materialize
+
 SPARE = 1.5  # rows drawn per needed row, so that every tree fills up
 NODE = "tree int, node int, feature int, threshold double, length double"
 
@@ -96,15 +98,30 @@ class IsolationForest:
     high: float = 1.0
 
     @classmethod
-    def fit(
-        cls, df: DataFrame, features: Sequence[str], ident: str = "transaction_id", trees: int = 200,
-        sample: int = 256, contamination: float = 0.05, seed: int = 42,
-    ) -> IsolationForest:
-        """Grow the trees, then take the decision limit and the score range from the training rows.
+    def fit(cls, df: DataFrame, features: Sequence[str], **settings) -> IsolationForest:
+        """Grow the trees (`grown` has the settings), then take the decision limit and the score range from
+        the training rows.
 
         The range is kept with the model: scaling by each scored batch would make a single row
         always look most anomalous.
         """
+        model = cls.grown(df, features, **settings)
+        return model.calibrated(df.select(model.score_column().alias("anomaly_score")))
+
+    @classmethod
+    def fit_transform(cls, df: DataFrame, features: Sequence[str], train: Column, **settings) -> tuple[IsolationForest, DataFrame]:
+        """A model fitted on the `train` rows, and all rows as `transform` gives them. Scores are computed once
+        and written; limit, range and labels are read off that table."""
+        model = cls.grown(df.where(train), features, **settings)
+        scored = materialize(df.withColumn("anomaly_score", model.score_column()))
+        return model.calibrated(scored.where(train)), model.labelled(scored)
+
+    @classmethod
+    def grown(
+        cls, df: DataFrame, features: Sequence[str], ident: str = "transaction_id", trees: int = 200,
+        sample: int = 256, contamination: float = 0.05, seed: int = 42,
+    ) -> IsolationForest:
+        """The trees, each from its own draw of `sample` rows, without limit and range."""
         features = list(features)
         depth = int(np.ceil(np.log2(sample)))
 
@@ -119,12 +136,16 @@ class IsolationForest:
         drawn = draw_rows(df, n, features, ident, trees, sample, seed)
         # At most trees x 511 nodes come back, independent of the data.
         nodes = drawn.groupBy("tree").applyInPandas(grow, NODE).toPandas()
-        model = cls._from_nodes(nodes, features, min(sample, n), depth, contamination)
-        spread = df.select(model.score_column().alias("s")).agg(
-            F.percentile_approx("s", 1.0 - contamination, 10_000).alias("limit"), F.min("s").alias("low"), F.max("s").alias("high")
+        return cls._from_nodes(nodes, features, min(sample, n), depth, contamination)
+
+    def calibrated(self, scored: DataFrame) -> IsolationForest:
+        """Sets limit and range from the `anomaly_score` of the training rows."""
+        spread = scored.agg(
+            F.percentile_approx("anomaly_score", 1.0 - self.contamination, 10_000).alias("limit"),
+            F.min("anomaly_score").alias("low"), F.max("anomaly_score").alias("high"),
         ).first()
-        model.limit, model.low, model.high = spread["limit"], spread["low"], spread["high"]
-        return model
+        self.limit, self.low, self.high = spread["limit"], spread["low"], spread["high"]
+        return self
 
     @classmethod
     def _from_nodes(cls, nodes: pd.DataFrame, features, sample, depth, contamination) -> IsolationForest:
@@ -150,7 +171,9 @@ class IsolationForest:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds anomaly_score, isolation_forest (probability by the training range) and anomaly (0/1)."""
-        scored = df.withColumn("anomaly_score", self.score_column())
+        return self.labelled(df.withColumn("anomaly_score", self.score_column()))
+
+    def labelled(self, scored: DataFrame) -> DataFrame:
         scaled = (F.col("anomaly_score") - self.low) / (self.high - self.low + 1e-10)
         return scored.withColumns({
             "isolation_forest": F.least(F.lit(1.0), F.greatest(F.lit(0.0), scaled)),

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.classification import GBTClassificationModel, MultilayerPerceptronClassifier
+from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskweave.functions.columns import id_hash
 from riskweave.operators.projections import balance_features, clean_numeric, high_amount_p95, type_one_hot
 from riskweave.schemas import FEATURES, PAYMENT_TYPES
-from riskweave.session import shared_dir
+from riskweave.session import materialize
+
+# Trees between two written tables of margins; steps of probability that an AUC tells apart.
+ROUNDS_PER_CUT, AUC_BINS = 7, 10_000
 
 PAYMENT_FEATURES = [
     "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest",
@@ -68,23 +75,88 @@ def balance_weight(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 def fit_boosted(
     df: DataFrame, names: Sequence[str] = FEATURES, label: str = "is_fraud", rounds: int = 300, depth: int = 8,
     step: float = 0.05, subsample: float = 0.8, colsample: float = 0.8, positive_weight: float | None = 5.0,
-    validation: str | None = None, seed: int = 42,
+    validation: str | None = None, patience: int = 20, ident: str = "transaction_id", seed: int = 42,
 ) -> PipelineModel:
-    """Gradient-boosted trees. `positive_weight=None` balances the classes; `validation` names a
-    boolean column whose rows decide when to stop early."""
-    shared_dir(df.sparkSession)  # where the fit cuts its lineage every ten rounds
+    """Boosted trees on the log loss, one weighted regression tree a round.
+
+    A tree sees its own draw of columns and of rows. Its target is (y - p) / p(1 - p) at the weight p(1 - p),
+    so its splits and leaves are Newton steps. Columns that are not drawn are zero for it, and a constant is
+    never split. Rows are drawn by a hash of `ident`, or of all features where there is no such column.
+    `positive_weight=None` balances the classes. `validation` names a boolean column: its rows are not learned
+    from, and after `patience` rounds without a better AUC on them the trees up to the best round are kept.
+    """
     if positive_weight is None:
         positive_weight = balance_weight(df, label).first()["weight"] or 1.0
-    y = F.col(label).cast("boolean")
-    rows = df.withColumns({"label": y.cast("double"), "_weight": F.when(y, float(positive_weight)).otherwise(1.0)})
-    trees = GBTClassifier(
-        maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=str(colsample),
-        weightCol="_weight", featuresCol="features", labelCol="label", seed=seed, checkpointInterval=10,
-    )
-    if validation:
-        trees = trees.setValidationIndicatorCol(validation)
-    assembler = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, trees]).fit(rows)
+    y, names = F.col(label).cast("boolean"), list(names)
+    key = [ident] if ident in df.columns else names
+    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+    rows = materialize(assembler.transform(df.where(y.isNotNull())).select(
+        "features", y.cast("double").alias("label"), F.when(y, float(positive_weight)).otherwise(1.0).alias("_weight"),
+        (F.coalesce(F.col(validation), F.lit(False)) if validation else F.lit(False)).alias("_held"),
+        F.xxhash64(*key).alias("_key"), F.lit(0.0).alias("_margin"),
+    ))
+    rng, trees, aucs = np.random.default_rng(seed), [], []
+    while len(trees) < rounds and not (aucs and stop_round(aucs, patience)[1]):
+        stages = ["_margin"]
+        for number in range(len(trees), min(rounds, len(trees) + ROUNDS_PER_CUT)):
+            drawn = rng.permutation(len(names))[: max(1, round(colsample * len(names)))]
+            mask = Vectors.dense(np.isin(np.arange(len(names)), drawn).astype(float))
+            tree = _newton_tree(rows.withColumn("_margin", F.col(stages[-1])), mask, number, depth, subsample, seed)
+            stages.append(f"_margin{number}")
+            rows = tree.transform(rows).withColumn(stages[-1], F.col(stages[-2]) + step * F.col("prediction")).drop("prediction")
+            trees.append(tree)
+        # The margins are written every few rounds, so that a lost executor repeats these only.
+        rows = materialize(rows)
+        if validation:
+            aucs += staged_auc(rows.where("_held"), stages[1:])
+        rows = rows.withColumn("_margin", F.col(stages[-1])).drop(*stages[1:])
+    kept = trees[: stop_round(aucs, patience)[0] + 1] if validation else trees
+    return PipelineModel(stages=[assembler, _boosted_model(df, kept, step)])
+
+
+def _newton_tree(rows: DataFrame, mask, number: int, depth: int, subsample: float, seed: int):
+    p = 1.0 / (1.0 + F.exp(-F.col("_margin")))
+    spread = F.greatest(F.col("_p") * (1.0 - F.col("_p")), F.lit(1e-6))
+    chosen = F.pmod(F.xxhash64("_key", F.lit(seed), F.lit(number)), F.lit(1 << 20)) < int(subsample * (1 << 20))
+    target = ElementwiseProduct(scalingVec=mask, inputCol="features", outputCol="_drawn").transform(
+        rows.where(~F.col("_held") & chosen).withColumn("_p", p)
+    ).select("_drawn", ((F.col("label") - F.col("_p")) / spread).alias("_target"), (F.col("_weight") * spread).alias("_weight"))
+    tree = DecisionTreeRegressor(featuresCol="_drawn", labelCol="_target", weightCol="_weight", maxDepth=depth, seed=seed)
+    return tree.fit(target).setFeaturesCol("features")
+
+
+def staged_auc(rows: DataFrame, margins: Sequence[str]) -> list[float]:
+    """The AUC of each margin column in one pass, on probabilities in steps of 1 / `AUC_BINS`."""
+    binned = [F.struct(F.lit(i).alias("stage"), F.floor(AUC_BINS / (1.0 + F.exp(-F.col(m)))).alias("bin")) for i, m in enumerate(margins)]
+    cells = rows.select("label", F.explode(F.array(*binned)).alias("_c")).groupBy("_c.stage", "_c.bin").agg(
+        F.sum("label").alias("pos"), F.sum(1.0 - F.col("label")).alias("neg"))
+    below = F.coalesce(F.sum("neg").over(Window.partitionBy("stage").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    wins = cells.withColumn("_wins", F.col("pos") * (below + F.col("neg") / 2))
+    auc = F.try_divide(F.sum("_wins"), F.sum("pos") * F.sum("neg"))
+    found = {r["stage"]: r["auc"] for r in wins.groupBy("stage").agg(auc.alias("auc")).collect()}
+    return [found.get(i) or 0.0 for i in range(len(margins))]
+
+
+def stop_round(aucs: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(the best round, whether `patience` rounds after it were no better); later rounds do not count."""
+    best = 0
+    for number, auc in enumerate(aucs):
+        if auc > aucs[best]:
+            best = number
+        elif number - best >= patience:
+            return best, True
+    return best, False
+
+
+def _boosted_model(df: DataFrame, trees: Sequence, step: float) -> GBTClassificationModel:
+    """The trees as one MLlib model. It doubles a margin on the way to a probability, so trees weigh half a step."""
+    sc = df.sparkSession.sparkContext
+    members = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    weights = sc._gateway.new_array(sc._jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        members[i], weights[i] = tree._java_obj, step / 2
+    made = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"boosted_{uuid.uuid4().hex[:12]}", members, weights)
+    return GBTClassificationModel(made).setFeaturesCol("features")
 
 
 def boosted_scores(model: PipelineModel, df: DataFrame, output: str = "xgboost") -> DataFrame:
@@ -96,7 +168,10 @@ def boosted_scores(model: PipelineModel, df: DataFrame, output: str = "xgboost")
 def feature_importance(spark, names: Sequence[str] = FEATURES, model: PipelineModel | None = None) -> DataFrame:
     """(feature, importance); all alike when there is no model."""
     names = list(names)
-    values = [1.0 / len(names)] * len(names) if model is None else model.stages[-1].featureImportances.toArray().tolist()
+    values = [1.0 / len(names)] * len(names)
+    if model is not None:  # columns after the last one that is split on have no entry
+        found = model.stages[-1].featureImportances.toArray().tolist()
+        values = found + [0.0] * (len(names) - len(found))
     return spark.createDataFrame(list(zip(names, values)), "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
@@ -115,17 +190,18 @@ def fit_sequence(
     they are scored, and the fit ends with the weights before the loss rose.
     """
     rows = sequence_features(sequences).withColumn("label", F.col("is_fraud").cast("double"))
-    learned = rows if validation is None else rows.where(~F.col(validation))
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(learned)
+    held = F.lit(False) if validation is None else F.col(validation)
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows.where(~held))
+    scaled = materialize(scaler.transform(rows).select("scaled", "label", held.alias("_held")))
+    learned, judged = scaled.where("NOT _held"), scaled.where("_held")
     net = MultilayerPerceptronClassifier(
         layers=[width, *layers, 2], featuresCol="scaled", labelCol="label", maxIter=rounds if validation is None else step, seed=seed,
     )
-    best = net.fit(scaler.transform(learned))
+    best = net.fit(learned)
     if validation is not None:
-        judged = scaler.transform(rows.where(validation))
         loss = _log_loss(best, judged)
         for _ in range(step, rounds, step):
-            later = net.setInitialWeights(best.weights).fit(scaler.transform(learned))
+            later = net.setInitialWeights(best.weights).fit(learned)
             now = _log_loss(later, judged)
             if not now < loss:
                 break

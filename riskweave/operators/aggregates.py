@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskweave.functions import columns as c
-from riskweave.functions.stats import exact_percentiles, with_rows_below
+from riskweave.functions.stats import exact_percentiles, exact_percentiles_of, with_rows_below
 
 
 def fraud_count(flag: str = "is_fraud") -> Column:
@@ -151,20 +151,10 @@ def type_share(df: DataFrame) -> DataFrame:
     )
 
 
-def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("x")) for n in names])
-    return df.select(F.explode(pairs).alias("_p")).select("_p.metric", "_p.x")
-
-
 def describe_numeric(df: DataFrame, names: Sequence[str], **sizes: int) -> DataFrame:
     """count, mean, std, min, exact quartiles and max per column, in long form; NaN counts as missing."""
-    values = _long(df, names).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    basic = values.groupBy("metric").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-    )
-    quartiles = exact_percentiles(values, "x", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["metric"], **sizes)
-    return basic.join(quartiles, "metric")
+    basic = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    return exact_percentiles_of(df, names, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, basic, **sizes).where("count > 0")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None) -> DataFrame:

@@ -194,23 +194,23 @@ def fitted_sequence(sequences):
 def all_scores(spark, d):
     """Every row with the scores of the three models, each fitted on train rows only."""
     rows = training_table(spark, d)
-    forest = IsolationForest.fit(rows.where("split = 'train'"), FEATURES)
+    _, judged_rows = IsolationForest.fit_transform(rows, FEATURES, train=F.col("split") == "train")
     sequences = materialize(f.sequence_window(rows, keep=["split", "validation"]))
     late = learn.sequence_scores(fitted_sequence(sequences), sequences).select("transaction_id", "lstm")
-    return learn.boosted_scores(fitted_boosted(rows), forest.transform(rows)).join(late, "transaction_id", "left")
+    return learn.boosted_scores(fitted_boosted(rows), judged_rows).join(late, "transaction_id", "left")
 
 
 @query("isolation_forest_scores")
 def _(spark, d):
     rows = training_table(spark, d)
-    model = IsolationForest.fit(rows.where("split = 'train'"), FEATURES)
-    return model.transform(rows).select("transaction_id", "anomaly_score", "isolation_forest", "anomaly")
+    _, scored = IsolationForest.fit_transform(rows, FEATURES, train=F.col("split") == "train")
+    return scored.select("transaction_id", "anomaly_score", "isolation_forest", "anomaly")
 
 
 @query("anomaly_label")
 def _(spark, d):
     rows = training_table(spark, d)
-    scored = IsolationForest.fit(rows.where("split = 'train'"), FEATURES).transform(rows)
+    _, scored = IsolationForest.fit_transform(rows, FEATURES, train=F.col("split") == "train")
     return scored.groupBy("is_fraud", "anomaly").agg(F.count("*").alias("count"), F.avg("anomaly_score").alias("avg_score"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskweave.functions import columns as c
+from riskweave.functions.stats import sketched
 
 
 def _late_after(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
@@ -59,6 +60,13 @@ def sliding_type_label(df: DataFrame, kind: str = "channel", ts: str = "ts", wat
     )
 
 
+def latency_sketches(df: DataFrame, ts: str = "ts", watermark: str | None = "10 minutes") -> DataFrame:
+    """A mergeable quantile sketch of the processing time per minute, for percentiles of any span of minutes."""
+    return _late_after(df, ts, watermark).groupBy(F.window(ts, "1 minute")).agg(
+        F.count("processing_ms").alias("count"), sketched("processing_ms").alias("sketch")
+    )
+
+
 def running_fraud_counts(df: DataFrame) -> DataFrame:
     """Fraud counts per region and type since the start; a small, unwindowed state."""
     return df.where("is_fraud").groupBy("region", "fraud_type").agg(F.count("*").alias("count"))

@@ -10,7 +10,7 @@ from pyspark.sql import Window, functions as F
 from riskweave.functions.columns import DAY, HOUR
 from riskweave.functions import history
 from riskweave.functions.history import Measure, before, with_blocks
-from riskweave.functions.stats import exact_percentiles
+from riskweave.functions.stats import exact_percentiles, exact_percentiles_of, sketch_percentiles, sketched
 
 SCHEMA = "user int, t long, id int, kind string, amount long"
 GAPS = [0, 0, 1, HOUR - 1, HOUR, HOUR + 1, 24 * HOUR, 30 * DAY - 1, 30 * DAY, 30 * DAY + 1, 17 * HOUR]
@@ -148,3 +148,33 @@ def test_percentiles_equal_numpy(spark, sizes):
     assert exact_percentiles(large, "x", {"a": 0.25, "b": 0.999}, **sizes).first()[:] == pytest.approx(tuple(np.quantile(many, [0.25, 0.999])))
     whole = exact_percentiles(df, "x", {"p": 0.9}, **sizes).first()["p"]
     assert whole == pytest.approx(np.quantile(np.concatenate(list(values.values())), 0.9))
+
+
+def test_percentiles_of_many_columns_in_wide_form(spark):
+    """Brackets narrower than the table, ties, gaps, a constant, few values and none."""
+    n, probs = 30_000, {"p1": 0.01, "p50": 0.5, "p999": 0.999}
+    rng = np.random.default_rng(3)
+    columns = [rng.normal(0, 1, n), np.floor(rng.exponential(3, n)), np.full(n, 7.0), rng.normal(0, 1, n), np.full(n, np.nan)]
+    columns[3][50:] = np.nan
+    names = list("abcde")
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for v in row) for i, row in enumerate(zip(*columns))], "a double, b double, c double, d double, e double")
+    out = {r["metric"]: r for r in exact_percentiles_of(df, names, probs, {"high": F.max}, hot_rows=40, chunk_rows=20).collect()}
+    for name, x in zip(names, columns):
+        x = x[~np.isnan(x)]
+        assert out[name]["count"] == len(x)
+        want = np.quantile(x, list(probs.values())) if len(x) else [None] * 3
+        assert [out[name][p] for p in probs] == pytest.approx(list(want)) and out[name]["high"] == (x.max() if len(x) else None)
+    assert exact_percentiles(df.where("false"), "a", {"p": 0.5}).collect() == [(None,)]
+
+
+def test_merged_sketches_stay_within_their_error(spark):
+    rows = spark.range(200_000).select((F.col("id") % 97).alias("part"), (F.pmod(F.hash("id"), F.lit(1_000_003)) / 7.0).alias("x"), (F.col("id") % 2).alias("g"))
+    sketches = rows.groupBy("g", "part").agg(sketched("x").alias("sketch"))
+    for r in sketch_percentiles(sketches, {"p50": 0.5, "p99": 0.99}, ["g"]).collect():
+        of_group = rows.where(F.col("g") == r["g"])
+        for name, p in (("p50", 0.5), ("p99", 0.99)):
+            assert abs(of_group.where(F.col("x") <= r[name]).count() / of_group.count() - p) < 0.003
+    small = rows.where("g = 0 AND part < 2")
+    values = np.sort([r["x"] for r in small.collect()])
+    exact = sketch_percentiles(small.groupBy("part").agg(sketched("x").alias("sketch")), {"p": 0.25}).first()["p"]
+    assert len(values) <= 4096 and exact == values[int(np.ceil(0.25 * len(values))) - 1]

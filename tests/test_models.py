@@ -1,8 +1,11 @@
 """Models: invariants of the fits, exact checks of the arithmetic around them."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskweave.models import ensemble as e, evaluate as v, learn
@@ -58,6 +61,15 @@ def test_forest_scores_do_not_depend_on_the_batch(planted, forest):
     assert {r["transaction_id"]: r["isolation_forest"] for r in spread} == whole
 
 
+def test_forest_scored_once_gives_what_fit_and_transform_give(planted):
+    train = F.col("transaction_id") % 4 != 0
+    names = ["a", "b", "c"]
+    apart = IsolationForest.fit(planted.where(train), names, trees=20).transform(planted)
+    model, scored = IsolationForest.fit_transform(planted, names, train=train, trees=20)
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, apart.collect()))
+    assert model.low < model.limit < model.high
+
+
 def test_forest_fit_is_repeatable_and_saved(spark, planted, forest, tmp_path):
     again = IsolationForest.fit(planted.repartition(7), ["a", "b", "c"], trees=50, contamination=0.02)
     np.testing.assert_array_equal(again.threshold, forest.threshold)
@@ -97,10 +109,60 @@ def test_boosted_trees_learn_and_reload(spark, table, tmp_path):
     assert again.agg(F.sum("xgboost")).first()[0] == pytest.approx(scored.agg(F.sum("xgboost")).first()[0])
 
 
-def test_boosted_trees_stop_early_on_a_validation_column(table):
-    rows = table.withColumn("held", F.col("split") == "test")
-    model = learn.fit_boosted(rows, rounds=6, depth=3, validation="held")
-    assert 1 <= model.stages[-1].getNumTrees <= 6
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (900, 5))
+    y = x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(0, 1, 900) > 0.8
+    rows = [(i, *map(float, r), bool(t), i % 3 == 0) for i, (r, t) in enumerate(zip(x, y))]
+    return materialize(spark.createDataFrame(rows, "transaction_id long, a double, b double, c double, d double, e double, is_fraud boolean, held boolean"))
+
+
+def test_boosted_trees_stop_where_a_replay_of_the_stages_does(labelled):
+    names, patience = list("abcde"), 3
+    settings = dict(rounds=15, depth=3, step=0.6, validation="held", positive_weight=1.0)
+    every = learn.fit_boosted(labelled, names, patience=99, **settings).stages[-1]
+    stopped = learn.fit_boosted(labelled, names, patience=patience, **settings).stages[-1]
+    # With a patience beyond the rounds the best round of all is kept, so the replay begins with its trees.
+    held = labelled.where("held").toPandas()
+    rows = learn.feature_matrix(labelled.where("held"), names)
+    margins, stages, aucs, best = np.zeros(len(held)), [], [], 0
+    for number, tree in enumerate(every.trees):
+        steps = {r["transaction_id"]: r["prediction"] for r in tree.transform(rows).select("transaction_id", "prediction").collect()}
+        margins = margins + 0.6 * np.array([steps[i] for i in held.transaction_id])
+        stages.append(margins)
+        bins = np.floor(learn.AUC_BINS / (1 + np.exp(-margins)))
+        apart = np.sign(bins[held.is_fraud.to_numpy()][:, None] - bins[~held.is_fraud.to_numpy()][None, :])
+        aucs.append(((apart + 1) / 2).mean())
+        best = number if aucs[number] > aucs[best] else best
+        if number - best >= patience:
+            break
+    assert max(aucs) > 0.75 and aucs[-1] > 0.5
+    assert stopped.getNumTrees == best + 1
+    kept = {r["transaction_id"]: r["p"] for r in stopped.transform(rows).select("transaction_id", vector_to_array("probability")[1].alias("p")).collect()}
+    # Sums over rows in another order may differ in their last digits.
+    assert [kept[i] for i in held.transaction_id] == pytest.approx(list(1 / (1 + np.exp(-stages[best]))), abs=1e-6)
+
+
+def test_each_boosted_tree_sees_its_own_draw_of_columns(labelled):
+    trees = learn.fit_boosted(labelled, list("abcde"), rounds=12, depth=4, colsample=0.4).stages[-1].trees
+    used = [{int(w) for w in re.findall(r"feature (\d+)", t.toDebugString)} for t in trees]
+    assert len(trees) == 12 and all(len(u) <= 2 for u in used) and len(set.union(*used)) == 5
+
+
+def test_boosted_leaves_are_newton_steps(labelled):
+    """One tree without a split: its leaf is the sum of y - p over the sum of p(1 - p), by weight."""
+    constant = labelled.withColumn("a", F.lit(1.0))
+    model = learn.fit_boosted(constant, ["a"], rounds=1, step=1.0, subsample=1.0, positive_weight=3.0)
+    yes, no = (labelled.where(w).count() for w in ("is_fraud", "NOT is_fraud"))
+    leaf = (3 * yes * 0.5 - no * 0.5) / ((3 * yes + no) * 0.25)
+    assert learn.boosted_scores(model, constant).first()["xgboost"] == pytest.approx(1 / (1 + np.exp(-leaf)))
+
+
+def test_the_best_round_counts_only_within_the_patience():
+    assert learn.stop_round([0.5, 0.7, 0.6, 0.6, 0.9], 2) == (1, True)
+    assert learn.stop_round([0.5, 0.7, 0.6, 0.8], 3) == (3, False)
+    assert learn.stop_round([0.5, 0.5], 1) == (0, True)
 
 
 def test_sequence_model(table):
