@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 from functools import reduce
 from operator import and_, or_
 
@@ -118,6 +119,34 @@ def exact_percentiles_of(
     return spark.createDataFrame(out, ", ".join(["metric string", "count long", *[f"`{c}` double" for c in [*also, *probs]]]))
 
 
+def discrete_percentiles(
+    counts: DataFrame, probs: dict[str, float], by: Sequence[str] = (), value: str = "value", n: str = "n", **sizes: int
+) -> DataFrame:
+    """(by, count, a percentile per entry of `probs`) of values that stand `n` times each: the smallest value whose rank
+    reaches the share. Exact, whatever the number of rows.
+
+    Counts of the same value are added up first, so those of any windows, streams or tables can be put together. Null and
+    NaN are left out; a group of these alone has the count 0 and nulls.
+    """
+    by = list(by) or ["_one"]
+    rows = counts.withColumn("_one", F.lit(0)).select(*by, F.col(value).alias("value"), F.col(n).alias("n"))
+    real = F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))
+    known = rows.withColumn("value", F.when(real, F.col("value")))
+    merged = materialize(known.groupBy(*by, "value").agg(F.sum("n").alias("n")))
+    totals = merged.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("_total"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by])
+    joined = with_rows_below(merged, by, **sizes).join(totals, same)
+
+    def at(p):
+        # In decimals, as 0.99 * 100 must not pass 99.
+        rank = F.greatest(F.ceil(F.col("_total").cast("decimal(19,0)") * F.lit(Decimal(str(p)))).cast("long"), F.lit(1))
+        return F.max(F.when((F.col("below") < rank) & (rank <= F.col("below") + F.col("n")), F.col("value").cast("double")))
+
+    found = joined.groupBy(*by).agg(F.max("_total").alias("count"), *[at(p).alias(name) for name, p in probs.items()])
+    return found.drop("_one")
+
+
 def sketched(value: str) -> Column:
     """A mergeable quantile sketch of a column, as an aggregate; null and NaN are left out."""
     x = F.col(value).cast("double")

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskweave.functions import columns as c
-from riskweave.functions.stats import sketch_percentiles
+from riskweave.functions.stats import discrete_percentiles
 from riskweave.operators import projections as p
 from riskweave.operators.joins import user_stats, with_user_stats
 from riskweave.plans.registry import iso_sql, money_avg_sql, query, txn
@@ -82,11 +82,10 @@ def _(spark, d):
 @query("stream_latency_percentiles", txn("""SELECT CAST(hour(ts) AS INTEGER) AS hour, count(processing_ms) AS count,
   CAST(quantile_disc(processing_ms, 0.5) AS DOUBLE) AS p50_ms, CAST(quantile_disc(processing_ms, 0.99) AS DOUBLE) AS p99_ms FROM txn GROUP BY 1"""))
 def _(spark, d):
-    """Sketches of a minute, kept by the stream, merged to hours of the day. Equal to SQL up to 4,096 rows an hour."""
-    minutes = updated(spark, w.latency_sketches(live(spark, d, region=False)), ["window"])
-    hours = minutes.withColumn("hour", F.hour("window.start"))
-    counts = hours.groupBy("hour").agg(F.sum("count").alias("count"))
-    return counts.join(sketch_percentiles(hours, {"p50_ms": 0.5, "p99_ms": 0.99}, ["hour"]), "hour")
+    """Counts per value and minute, kept by the stream, merged to hours of the day; exact at any number of rows."""
+    minutes = updated(spark, w.latency_counts(live(spark, d, region=False)), ["window", "processing_ms"])
+    hours = minutes.select(F.hour("window.start").alias("hour"), "processing_ms", "n")
+    return discrete_percentiles(hours, {"p50_ms": 0.5, "p99_ms": 0.99}, ["hour"], "processing_ms")
 
 
 @query("stream_running_fraud_counts", RUNNING_SQL)

@@ -67,6 +67,12 @@ def latency_sketches(df: DataFrame, ts: str = "ts", watermark: str | None = "10
     )
 
 
+def latency_counts(df: DataFrame, ts: str = "ts", watermark: str | None = "10 minutes") -> DataFrame:
+    """How often each processing time occurs per minute, for exact percentiles of any span of minutes. Times are whole
+    milliseconds, so the state holds a row per value, not per record."""
+    return _late_after(df, ts, watermark).groupBy(F.window(ts, "1 minute"), "processing_ms").agg(F.count("*").alias("n"))
+
+
 def running_fraud_counts(df: DataFrame) -> DataFrame:
     """Fraud counts per region and type since the start; a small, unwindowed state."""
     return df.where("is_fraud").groupBy("region", "fraud_type").agg(F.count("*").alias("count"))
