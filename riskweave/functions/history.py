@@ -103,8 +103,10 @@ def _chunked(
 ) -> DataFrame:
     """Entries of hot keys in chunks with their carry rows, all others in chunk 0.
 
-    The chunks are written once, as the totals and the windows must see the same limits.
+    The chunks are written once, as the totals and the windows must see the same limits. Hot keys are at most one in
+    `hot_rows` rows, so they are broadcast: a shuffle join would bring every row of a key into one task.
     """
+    hot = F.broadcast(hot)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in key])
     ranged = (
         entries.join(hot, same, "left_semi").repartitionByRange(chunks, *key, "_t", "_rank", ident)

@@ -5,7 +5,7 @@ import pytest
 from compare import compare, duck
 from pyspark.sql import functions as F
 
-from riskweave.functions import stats
+from riskweave.functions import history, stats
 from riskweave.plans import ORACLES, QUERIES
 
 
@@ -37,3 +37,28 @@ def test_discrete_percentiles_equal_sorted_rows(spark, sizes):
         assert list(got[g])[1:] == [len(xs), *want]
     whole = stats.discrete_percentiles(counts, {"p": 0.5}, (), "v", **sizes)
     assert whole.columns == ["count", "p"] and whole.first()["count"] == 5_141
+
+
+def test_hot_keys_are_not_brought_together_by_a_join(spark, capsys, monkeypatch):
+    """No size limit and no adaptive step may be needed to keep a key's rows out of one task, as in a micro-batch."""
+    plans, written = [], history.materialize
+
+    def noted(df):
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        return written(df)
+
+    monkeypatch.setattr(history, "materialize", noted)
+    df = spark.range(2_000).select((F.col("id") % 2).alias("user"), F.col("id").alias("t"), "id")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = history.before(df, ["user"], "t", "id", [history.Measure("n", F.lit(1))], hot_rows=500, chunk_rows=100)
+        out.explain()
+        plans.append(capsys.readouterr().out)
+        assert out.where("n <> floor(id / 2)").count() == 0 and out.count() == 2_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(plans) == 2 and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and "ShuffledHashJoin" not in p for p in plans)
