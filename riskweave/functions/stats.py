@@ -79,14 +79,14 @@ def exact_percentiles_of(
 ) -> DataFrame:
     """(metric, count, what `also` aggregates, a percentile per entry of `probs`), a row per column of `names`.
 
-    The rows stay wide. One scan takes the count, the sketch and the `also` aggregates of all columns and
+    The rows stay wide and are written once, as the plan of `df` may hold joins. One scan takes the count, the sketch and the `also` aggregates of all columns and
     brings one row to the driver. The next counts what lies below each bracket, the last hands on the values
     inside of them, about a five-hundredth of the rows each; equal values are counted together, the result is
     written and ranked by balanced running totals. Null and NaN are left out; a column without values has nulls.
     """
     names, also, spark = list(names), also or {}, df.sparkSession
     clean = [F.col(n).cast("double") for n in names]
-    rows = df.select(*[F.when(~F.isnan(x), x).alias(f"_{i}") for i, x in enumerate(clean)])
+    rows = materialize(df.select(*[F.when(~F.isnan(x), x).alias(f"_{i}") for i, x in enumerate(clean)]))
     around = [max(0.0, p - BRACKET) for p in probs.values()] + [min(1.0, p + BRACKET) for p in probs.values()]
     aggregates = []
     for i in range(len(names)):

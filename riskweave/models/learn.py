@@ -29,9 +29,9 @@ PAYMENT_FEATURES = [
 ]
 
 
-def payment_features(payments: DataFrame, **sizes: int) -> DataFrame:
-    """Balance features, large-amount flag and type flags, with no missing or infinite value left."""
-    rows = type_one_hot(balance_features(high_amount_p95(payments, **sizes)))
+def payment_features(payments: DataFrame, amounts: DataFrame | None = None, **sizes: int) -> DataFrame:
+    """Balance features, large-amount flag and type flags, with no missing or infinite value left. `amounts` as in `high_amount_p95`."""
+    rows = type_one_hot(balance_features(high_amount_p95(payments, amounts=amounts, **sizes)))
     return clean_numeric(rows, PAYMENT_FEATURES)
 
 

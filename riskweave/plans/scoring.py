@@ -156,7 +156,7 @@ def _(spark, d):
   CAST(type = 'PAYMENT' AS DOUBLE) AS f10, CAST(type = 'TRANSFER' AS DOUBLE) AS f11, CAST(type = 'CASH_OUT' AS DOUBLE) AS f12,
   CAST(type = 'CASH_IN' AS DOUBLE) AS f13, CAST(type = 'DEBIT' AS DOUBLE) AS f14 FROM pay, lim"""))
 def _(spark, d):
-    matrix = learn.feature_matrix(learn.payment_features(payments(spark, d)), learn.PAYMENT_FEATURES)
+    matrix = learn.feature_matrix(learn.payment_features(payments(spark, d), payments(spark, d, balances=False)), learn.PAYMENT_FEATURES)
     x = vector_to_array("features")
     return matrix.select(*[(F.round(x[i], 8) if i == 8 else x[i]).alias(f"f{i}") for i in range(15)])
 

@@ -62,3 +62,16 @@ def test_hot_keys_are_not_brought_together_by_a_join(spark, capsys, monkeypatch)
         for k, v in old.items():
             spark.conf.set(k, v)
     assert len(plans) == 2 and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and "ShuffledHashJoin" not in p for p in plans)
+
+
+def test_percentiles_work_their_input_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(0, 10_000, 1, 4).select(F.udf(noted, "double")(F.col("id").cast("double")).alias("x"))
+    found = stats.exact_percentiles_of(df, ["x"], {"p": 0.95}).first()
+    assert (found["count"], found["p"]) == (10_000, pytest.approx(0.95 * 9_999))
+    assert seen.value == 10_000
