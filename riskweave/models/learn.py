@@ -58,7 +58,8 @@ def stratified_split(
     cut = sizes.where("_upto >= _wanted").groupBy("_label").agg(
         F.min("_slot").alias("_cut"), F.min_by(F.col("_wanted") - F.col("_upto") + F.col("_n"), "_slot").alias("_missing")
     )
-    marked = hashed.join(cut, F.col(label).eqNullSafe(F.col("_label")))
+    # A row a label: a shuffle join would bring all rows of a label into one task.
+    marked = hashed.join(F.broadcast(cut), F.col(label).eqNullSafe(F.col("_label")))
     apart = marked.where("_slot <> _cut").withColumn("_test", F.col("_slot") < F.col("_cut"))
     order = Window.partitionBy("_label", "_slot").orderBy("_h", ident)
     within = marked.where("_slot = _cut").withColumn("_test", F.row_number().over(order) <= F.col("_missing"))

@@ -6,6 +6,7 @@ from compare import compare, duck
 from pyspark.sql import functions as F
 
 from riskweave.functions import history, stats
+from riskweave.models import learn
 from riskweave.plans import ORACLES, QUERIES
 
 
@@ -75,3 +76,17 @@ def test_percentiles_work_their_input_out_once(spark):
     found = stats.exact_percentiles_of(df, ["x"], {"p": 0.95}).first()
     assert (found["count"], found["p"]) == (10_000, pytest.approx(0.95 * 9_999))
     assert seen.value == 10_000
+
+
+def test_split_does_not_bring_a_label_together(spark, capsys):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(1_000).select(F.col("id").alias("transaction_id"), (F.col("id") % 2 == 0).alias("is_fraud"))
+        learn.stratified_split(rows).explain()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
