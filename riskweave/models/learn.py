@@ -123,7 +123,12 @@ def _newton_tree(rows: DataFrame, mask, number: int, depth: int, subsample: floa
         rows.where(~F.col("_held") & chosen).withColumn("_p", p)
     ).select("_drawn", ((F.col("label") - F.col("_p")) / spread).alias("_target"), (F.col("_weight") * spread).alias("_weight"))
     tree = DecisionTreeRegressor(featuresCol="_drawn", labelCol="_target", weightCol="_weight", maxDepth=depth, seed=seed)
-    return tree.fit(target).setFeaturesCol("features")
+    # A fit reads its rows three times before it keeps them in its own form; the margins are worked out once.
+    target = target.persist()
+    try:
+        return tree.fit(target).setFeaturesCol("features")
+    finally:
+        target.unpersist()
 
 
 def staged_auc(rows: DataFrame, margins: Sequence[str]) -> list[float]:
