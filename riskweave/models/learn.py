@@ -7,14 +7,16 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, MultilayerPerceptronClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.functions.columns import id_hash
+from riskweave.models import perceptron
+from riskweave.operators.features import SEQUENCE
 from riskweave.operators.projections import balance_features, clean_numeric, high_amount_p95, type_one_hot
 from riskweave.schemas import FEATURES, PAYMENT_TYPES
 from riskweave.session import materialize
@@ -195,34 +197,41 @@ def fit_sequence(
     `validation` names a boolean column. Its rows are not learned from; after every `step` rounds
     they are scored, and the fit ends with the weights before the loss rose.
     """
-    rows = sequence_features(sequences).withColumn("label", F.col("is_fraud").cast("double"))
+    part = _part(F.lit(True), validation)
+    packs = perceptron.packed(sequences, F.flatten("sequence"), F.col("is_fraud"), part)
+    return _fitted(packs, width, width, layers, rounds, seed, validation, step)
+
+
+def sequence_packs(rows: DataFrame, train: Column, validation: str | None = None, length: int = SEQUENCE, ident: str = "transaction_id") -> DataFrame:
+    """The sequences of `features.sequence_rows`, written once for fit and scores. Learned from: the `train` rows outside of `validation`."""
+    return perceptron.packed(rows, F.col("features"), F.col("is_fraud"), _part(train, validation), F.col("_whole"), length, ident)
+
+
+def fit_sequence_packs(
+    packs: DataFrame, columns: int = len(FEATURES), length: int = SEQUENCE, layers: Sequence[int] = (64, 32), rounds: int = 50, seed: int = 42,
+    validation: str | None = None, step: int = 10,
+) -> PipelineModel:
+    """`fit_sequence` on packs made with the same `validation`."""
+    return _fitted(packs, columns * length, columns, layers, rounds, seed, validation, step)
+
+
+def _part(train: Column, validation: str | None) -> Column:
     held = F.lit(False) if validation is None else F.col(validation)
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows.where(~held))
-    scaled = materialize(scaler.transform(rows).select("scaled", "label", held.alias("_held")))
-    learned, judged = scaled.where("NOT _held"), scaled.where("_held")
-    net = MultilayerPerceptronClassifier(
-        layers=[width, *layers, 2], featuresCol="scaled", labelCol="label", maxIter=rounds if validation is None else step, seed=seed,
-    )
-    best = net.fit(learned)
-    if validation is not None:
-        loss = _log_loss(best, judged)
-        for _ in range(step, rounds, step):
-            later = net.setInitialWeights(best.weights).fit(learned)
-            now = _log_loss(later, judged)
-            if not now < loss:
-                break
-            best, loss = later, now
-    return PipelineModel(stages=[scaler, best])
+    return F.when(train & held, perceptron.JUDGED).when(train & ~held, perceptron.LEARNED).otherwise(perceptron.NEITHER)
 
 
-def _log_loss(model, rows: DataFrame) -> float:
-    p = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
-    return model.transform(rows).agg(F.avg(-F.log(F.greatest(p, F.lit(1e-12))))).first()[0] or 0.0
+def _fitted(packs, width, columns, layers, rounds, seed, validation, step) -> PipelineModel:
+    return PipelineModel(stages=[perceptron.fit_packs(packs, [width, *layers, 2], columns, rounds, seed, validation is not None, step)])
+
+
+def sequence_pack_scores(model: PipelineModel, packs: DataFrame, output: str = "lstm", columns: int = len(FEATURES), ident: str = "transaction_id") -> DataFrame:
+    """(ident, score): what `sequence_scores` gives for the sequences of the packs."""
+    return perceptron.pack_scores(model.stages[-1], packs, columns, ident, output)
 
 
 def sequence_scores(model: PipelineModel, sequences: DataFrame, output: str = "lstm") -> DataFrame:
     scored = model.transform(sequence_features(sequences)).withColumn(output, vector_to_array("probability")[1])
-    return scored.drop("features", "scaled", "rawPrediction", "probability", "prediction")
+    return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 
 def fit_pca(df: DataFrame, names: Sequence[str], k: int = 2) -> PipelineModel:

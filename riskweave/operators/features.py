@@ -190,14 +190,30 @@ def sequence_window(df: DataFrame, names: Iterable[str] = FEATURES, length: int
     user, so neither a window nor an array ever holds a whole long history.
     """
     names = list(names)
-    numbered = _history(df, [Measure("_position", F.lit(1))], ts, **sizes)
-    blocks = with_blocks(numbered, USER, "_position", length, block)
+    blocks = _numbered_blocks(df, length, ts, block, **sizes)
     window = Window.partitionBy(*USER, "_block").orderBy("_position").rowsBetween(-length, -1)
     rows = blocks.withColumn("sequence", F.collect_list(F.array(*[F.col(n).cast("double") for n in names])).over(window))
     whole = ~F.col("_lead_in") & (F.size("sequence") == length) & F.col("_position").isNotNull()
     return rows.where(whole).select(ID, "user_id", "is_fraud", *keep, "sequence")
 
 
+def sequence_rows(df: DataFrame, names: Iterable[str] = FEATURES, length: int = SEQUENCE, ts: str = "ts", block: int = 4096,
+                  keep: Iterable[str] = (), **sizes: int) -> DataFrame:
+    """What `sequence_window` tells, with every row's own features only, as the array `features`.
+
+    A row `_whole` has its `length` earlier rows right before it in its partition; the rows of `sequence_window` are these.
+    """
+    blocks = _numbered_blocks(df, length, ts, block, **sizes).where(F.col("_position").isNotNull())
+    whole = ~F.col("_lead_in") & (F.col("_position") >= length)
+    placed = blocks.repartition(*USER, "_block").sortWithinPartitions(*USER, "_block", "_position")
+    return placed.select(ID, "is_fraud", *keep, whole.alias("_whole"), F.array(*[F.col(n).cast("double") for n in names]).alias("features"))
+
+
+def _numbered_blocks(df: DataFrame, length: int, ts: str, block: int, **sizes: int) -> DataFrame:
+    numbered = _history(df, [Measure("_position", F.lit(1))], ts, **sizes)
+    return with_blocks(numbered, USER, "_position", length, block)
+
+
 def change_rate(df: DataFrame, field: str, name: str, ts: str = "ts", **sizes: int) -> DataFrame:
     """Share of the user's steps so far, this one included, on which `field` changed."""
     known = _history(df, [Measure("_before", F.col(field), how="last"), Measure("_steps", F.lit(1))], ts, **sizes)

@@ -177,7 +177,9 @@ def _(spark, d):
 
 def training_table(spark, d):
     """The 12 features with label, split and, within train, the part that decides when a fit stops."""
-    rows = f.transaction_features(lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud", "user_id", "ts"])
+    # Written first: each split reads its rows several times.
+    rows = materialize(f.transaction_features(
+        lean(spark, d), regions=user_regions(spark, d), cross_border=GEO_CROSS_BORDER, keep=["is_fraud", "user_id", "ts"]))
     split = learn.stratified_split(rows)
     held = learn.stratified_split(split, test_percent=10, seed=43, names=("held", "fit"), output="_part")
     return materialize(held.withColumn("validation", F.col("_part") == "held").drop("_part"))
@@ -187,17 +189,18 @@ def fitted_boosted(rows):
     return learn.fit_boosted(rows.where("split = 'train'"), positive_weight=None, validation="validation")
 
 
-def fitted_sequence(sequences):
-    return learn.fit_sequence(sequences.where("split = 'train'"), validation="validation")
+def late_scores(rows):
+    """(transaction_id, lstm) of every row with ten earlier ones, by a perceptron fitted on train rows only."""
+    sequences = f.sequence_rows(rows, keep=["split", "validation"])
+    packs = learn.sequence_packs(sequences, F.col("split") == "train", "validation")
+    return learn.sequence_pack_scores(learn.fit_sequence_packs(packs, validation="validation"), packs)
 
 
 def all_scores(spark, d):
     """Every row with the scores of the three models, each fitted on train rows only."""
     rows = training_table(spark, d)
     _, judged_rows = IsolationForest.fit_transform(rows, FEATURES, train=F.col("split") == "train")
-    sequences = materialize(f.sequence_window(rows, keep=["split", "validation"]))
-    late = learn.sequence_scores(fitted_sequence(sequences), sequences).select("transaction_id", "lstm")
-    return learn.boosted_scores(fitted_boosted(rows), judged_rows).join(late, "transaction_id", "left")
+    return learn.boosted_scores(fitted_boosted(rows), judged_rows).join(late_scores(rows), "transaction_id", "left")
 
 
 @query("isolation_forest_scores")
@@ -228,8 +231,7 @@ def _(spark, d):
 
 @query("sequence_scores")
 def _(spark, d):
-    sequences = materialize(f.sequence_window(training_table(spark, d), keep=["split", "validation"]))
-    return learn.sequence_scores(fitted_sequence(sequences), sequences).select("transaction_id", "lstm")
+    return late_scores(training_table(spark, d))
 
 
 @query("ensemble_trained")

@@ -69,12 +69,12 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     Used before iterative fits: the work is done once, and a lost executor costs a re-read instead
     of a recomputation of the whole plan.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
