@@ -26,7 +26,7 @@ def with_rows_below(counts: DataFrame, by: Sequence[str] = (), order: str = "val
 
 
 def exact_percentiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), **sizes: int
+    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), written: bool = False, **sizes: int
 ) -> DataFrame:
     """Linearly interpolated percentiles per group, one column per entry of `probs`; without groups as
     `exact_percentiles_of`, in one row.
@@ -37,7 +37,7 @@ def exact_percentiles(
     cover its rank. Null and NaN are left out, null groups are groups.
     """
     if not by:
-        return exact_percentiles_of(df, [value], probs, **sizes).drop("metric", "count")
+        return exact_percentiles_of(df, [value], probs, written=written, **sizes).drop("metric", "count")
     by, ends = list(by), len(probs)
     x = F.col(value).cast("double")
     rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("value"))
@@ -75,18 +75,19 @@ def exact_percentiles(
 
 def exact_percentiles_of(
     df: DataFrame, names: Sequence[str], probs: dict[str, float], also: dict[str, Callable[[Column], Column]] | None = None,
-    **sizes: int,
+    written: bool = False, **sizes: int,
 ) -> DataFrame:
     """(metric, count, what `also` aggregates, a percentile per entry of `probs`), a row per column of `names`.
 
-    The rows stay wide and are written once, as the plan of `df` may hold joins. One scan takes the count, the sketch and the `also` aggregates of all columns and
+    The rows stay wide and are written once, as the plan of `df` may hold joins; not if `df` is a table already `written`. One scan takes the count, the sketch and the `also` aggregates of all columns and
     brings one row to the driver. The next counts what lies below each bracket, the last hands on the values
     inside of them, about a five-hundredth of the rows each; equal values are counted together, the result is
     written and ranked by balanced running totals. Null and NaN are left out; a column without values has nulls.
     """
     names, also, spark = list(names), also or {}, df.sparkSession
     clean = [F.col(n).cast("double") for n in names]
-    rows = materialize(df.select(*[F.when(~F.isnan(x), x).alias(f"_{i}") for i, x in enumerate(clean)]))
+    rows = df.select(*[F.when(~F.isnan(x), x).alias(f"_{i}") for i, x in enumerate(clean)])
+    rows = rows if written else materialize(rows)
     around = [max(0.0, p - BRACKET) for p in probs.values()] + [min(1.0, p + BRACKET) for p in probs.values()]
     aggregates = []
     for i in range(len(names)):

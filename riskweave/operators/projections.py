@@ -73,7 +73,7 @@ def clean_numeric(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def high_amount_p95(df: DataFrame, p: float = 0.95, amounts: DataFrame | None = None, **sizes: int) -> DataFrame:
     """1 where the amount lies above the interpolated percentile of the whole column. `amounts` may be a table of the
-    same amounts that takes fewer joins than `df`."""
+    same amounts that takes fewer joins than `df`; `written=True` says that it, or `df` without it, is a written table."""
     limit = exact_percentiles(df if amounts is None else amounts, "amount", {"_limit": p}, **sizes)
     return df.crossJoin(F.broadcast(limit)).withColumn(
         "is_high_amount", F.coalesce((F.col("amount") > F.col("_limit")).cast("int"), F.lit(0))

@@ -8,6 +8,7 @@ from riskweave.functions import columns as c
 from riskweave.operators import alerts, projections as p
 from riskweave.plans.registry import iso_sql, pay, query, txn
 from riskweave.schemas import GEO_CROSS_BORDER, TRANSACTION
+from riskweave.session import materialize
 from riskweave.sources.tables import payments, transactions
 
 CATEGORY_SQL = "CASE WHEN amount > 1000 THEN 'HIGH' WHEN amount > 300 THEN 'MEDIUM' ELSE 'LOW' END"
@@ -176,8 +177,9 @@ def _(spark, d):
 @query("high_amount_p95", pay("""WITH lim AS (SELECT quantile_cont(amount, 0.95) AS q FROM pay)
   SELECT nameOrig, nameDest, amount, CAST(amount > q AS INTEGER) AS is_high_amount FROM pay, lim"""))
 def _(spark, d):
-    rows = payments(spark, d, balances=False).select("nameOrig", "nameDest", "amount")
-    return p.high_amount_p95(rows)
+    # Written, so that percentile and result share one join.
+    rows = materialize(payments(spark, d, balances=False).select("nameOrig", "nameDest", "amount"))
+    return p.high_amount_p95(rows, written=True)
 
 
 def _alert_query(name, rule, condition):

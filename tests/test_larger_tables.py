@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import history, stats
 from riskweave.models import learn
 from riskweave.plans import ORACLES, QUERIES
+from riskweave.session import materialize
 
 
 def test_stream_percentiles_of_a_busy_hour_equal_sql(spark, tmp_path):
@@ -90,3 +91,13 @@ def test_split_does_not_bring_a_label_together(spark, capsys):
             spark.conf.set(k, v)
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_percentile_and_result_share_one_join(spark, small, monkeypatch):
+    """The result reads the table the percentile was taken from, which is not written a second time."""
+    written = []
+    monkeypatch.setattr(stats, "materialize", lambda df: written.append(df.columns) or materialize(df))
+    made = QUERIES["high_amount_p95"](spark, small)
+    assert not any("lineitem" in name or "orders" in name for name in made.inputFiles())
+    assert written == [["cell", "value", "n"]]
+    assert compare(spark, duck(small), "high_amount_p95", small, QUERIES, ORACLES) is None
