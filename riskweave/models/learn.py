@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskweave.functions.columns import id_hash
-from riskweave.models import perceptron
+from riskweave.models import boosting, perceptron
+from riskweave.models.boosting import AUC_BINS, stop_round  # noqa: F401
 from riskweave.operators.features import SEQUENCE
 from riskweave.operators.projections import balance_features, clean_numeric, high_amount_p95, type_one_hot
 from riskweave.schemas import FEATURES, PAYMENT_TYPES
-from riskweave.session import materialize
-
-# Trees between two written tables of margins; steps of probability that an AUC tells apart.
-ROUNDS_PER_CUT, AUC_BINS = 7, 10_000
 
 PAYMENT_FEATURES = [
     "amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest",
@@ -93,78 +85,13 @@ def fit_boosted(
     y, names = F.col(label).cast("boolean"), list(names)
     key = [ident] if ident in df.columns else names
     assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    rows = materialize(assembler.transform(df.where(y.isNotNull())).select(
-        "features", y.cast("double").alias("label"), F.when(y, float(positive_weight)).otherwise(1.0).alias("_weight"),
-        (F.coalesce(F.col(validation), F.lit(False)) if validation else F.lit(False)).alias("_held"),
-        F.xxhash64(*key).alias("_key"), F.lit(0.0).alias("_margin"),
-    ))
-    rng, trees, aucs = np.random.default_rng(seed), [], []
-    while len(trees) < rounds and not (aucs and stop_round(aucs, patience)[1]):
-        stages = ["_margin"]
-        for number in range(len(trees), min(rounds, len(trees) + ROUNDS_PER_CUT)):
-            drawn = rng.permutation(len(names))[: max(1, round(colsample * len(names)))]
-            mask = Vectors.dense(np.isin(np.arange(len(names)), drawn).astype(float))
-            tree = _newton_tree(rows.withColumn("_margin", F.col(stages[-1])), mask, number, depth, subsample, seed)
-            stages.append(f"_margin{number}")
-            rows = tree.transform(rows).withColumn(stages[-1], F.col(stages[-2]) + step * F.col("prediction")).drop("prediction")
-            trees.append(tree)
-        # The margins are written every few rounds, so that a lost executor repeats these only.
-        rows = materialize(rows)
-        if validation:
-            aucs += staged_auc(rows.where("_held"), stages[1:])
-        rows = rows.withColumn("_margin", F.col(stages[-1])).drop(*stages[1:])
-    kept = trees[: stop_round(aucs, patience)[0] + 1] if validation else trees
-    return PipelineModel(stages=[assembler, _boosted_model(df, kept, step)])
-
-
-def _newton_tree(rows: DataFrame, mask, number: int, depth: int, subsample: float, seed: int):
-    p = 1.0 / (1.0 + F.exp(-F.col("_margin")))
-    spread = F.greatest(F.col("_p") * (1.0 - F.col("_p")), F.lit(1e-6))
-    chosen = F.pmod(F.xxhash64("_key", F.lit(seed), F.lit(number)), F.lit(1 << 20)) < int(subsample * (1 << 20))
-    target = ElementwiseProduct(scalingVec=mask, inputCol="features", outputCol="_drawn").transform(
-        rows.where(~F.col("_held") & chosen).withColumn("_p", p)
-    ).select("_drawn", ((F.col("label") - F.col("_p")) / spread).alias("_target"), (F.col("_weight") * spread).alias("_weight"))
-    tree = DecisionTreeRegressor(featuresCol="_drawn", labelCol="_target", weightCol="_weight", maxDepth=depth, seed=seed)
-    # A fit reads its rows three times before it keeps them in its own form; the margins are worked out once.
-    target = target.persist()
-    try:
-        return tree.fit(target).setFeaturesCol("features")
-    finally:
-        target.unpersist()
-
-
-def staged_auc(rows: DataFrame, margins: Sequence[str]) -> list[float]:
-    """The AUC of each margin column in one pass, on probabilities in steps of 1 / `AUC_BINS`."""
-    binned = [F.struct(F.lit(i).alias("stage"), F.floor(AUC_BINS / (1.0 + F.exp(-F.col(m)))).alias("bin")) for i, m in enumerate(margins)]
-    cells = rows.select("label", F.explode(F.array(*binned)).alias("_c")).groupBy("_c.stage", "_c.bin").agg(
-        F.sum("label").alias("pos"), F.sum(1.0 - F.col("label")).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.partitionBy("stage").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    wins = cells.withColumn("_wins", F.col("pos") * (below + F.col("neg") / 2))
-    auc = F.try_divide(F.sum("_wins"), F.sum("pos") * F.sum("neg"))
-    found = {r["stage"]: r["auc"] for r in wins.groupBy("stage").agg(auc.alias("auc")).collect()}
-    return [found.get(i) or 0.0 for i in range(len(margins))]
-
-
-def stop_round(aucs: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(the best round, whether `patience` rounds after it were no better); later rounds do not count."""
-    best = 0
-    for number, auc in enumerate(aucs):
-        if auc > aucs[best]:
-            best = number
-        elif number - best >= patience:
-            return best, True
-    return best, False
-
-
-def _boosted_model(df: DataFrame, trees: Sequence, step: float) -> GBTClassificationModel:
-    """The trees as one MLlib model. It doubles a margin on the way to a probability, so trees weigh half a step."""
-    sc = df.sparkSession.sparkContext
-    members = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
-    weights = sc._gateway.new_array(sc._jvm.double, len(trees))
-    for i, tree in enumerate(trees):
-        members[i], weights[i] = tree._java_obj, step / 2
-    made = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"boosted_{uuid.uuid4().hex[:12]}", members, weights)
-    return GBTClassificationModel(made).setFeaturesCol("features")
+    held = F.coalesce(F.col(validation), F.lit(False)) if validation else F.lit(False)
+    rows = assembler.transform(df.where(y.isNotNull()))
+    packs, grid, sample = boosting.packed(
+        rows, vector_to_array("features"), y, held, F.xxhash64(F.xxhash64(*key), F.lit(seed)), subsample, seed)
+    trees = boosting.fit_packs(
+        packs, grid, sample, rounds, depth, step, subsample, colsample, float(positive_weight), validation is not None, patience, seed)
+    return PipelineModel(stages=[assembler, boosting.as_model(df.sparkSession, trees, step, len(names), depth, seed)])
 
 
 def boosted_scores(model: PipelineModel, df: DataFrame, output: str = "xgboost") -> DataFrame:
