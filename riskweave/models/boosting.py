@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -28,6 +30,8 @@ from riskweave.session import materialize, shared_dir
 PACK_ROWS, BINS, SAMPLE, PLACES = 65_536, 32, 10_000, 65_536
 # Trees between two written states; steps of probability that an AUC tells apart.
 ROUNDS_PER_CUT, AUC_BINS = 7, 10_000
+# Tasks whose sums the driver adds up itself.
+PARTS = 32
 EPSILON = np.finfo(float).eps
 # Columns of a written pack.
 KINDS = {"label": np.int8, "held": np.bool_, "key": np.int64}
@@ -281,8 +285,18 @@ def best_splits(cells: np.ndarray, parents: np.ndarray | None) -> tuple[np.ndarr
 
 
 def _summed(rdd: RDD, work: Callable) -> list[np.ndarray]:
-    """The sums over all tasks of the arrays that `work` makes of each one's elements, in the order of the tasks."""
-    return [np.sum(x, axis=0) for x in zip(*rdd.mapPartitions(lambda part: [work(part)]).collect())]
+    """The sums over all tasks of the arrays that `work` makes of each one's elements, in the order of the tasks; those of more
+    than `PARTS` tasks are added up in other tasks first, so that the driver never holds many."""
+    def task(part: Iterator) -> list:
+        first = next(part, None)
+        return [] if first is None else [work(chain([first], part))]
+
+    made = rdd.mapPartitions(lambda part: task(iter(part)))
+    return made.treeReduce(_added) if rdd.getNumPartitions() > PARTS else reduce(_added, made.collect())
+
+
+def _added(some: list[np.ndarray], others: list[np.ndarray]) -> list[np.ndarray]:
+    return [a + b for a, b in zip(some, others)]
 
 
 def _rows_of(pack: Pack, draw: Draw, columns: np.ndarray, cuts: Sequence[np.ndarray]) -> tuple:
@@ -373,7 +387,8 @@ def _dealt(packs: RDD, tasks: int) -> RDD:
     for place, n in sorted(numbered.mapValues(lambda pack: len(pack.label)).collect(), key=lambda x: -x[1]):
         to[place] = rows.index(min(rows))
         rows[to[place]] += n
-    return numbered.map(lambda x: (to[x[0]], x[1])).partitionBy(tasks, int).values()
+    # Never more tasks than that, however wide an exchange is set to be.
+    return numbered.map(lambda x: (to[x[0]], x[1])).partitionBy(tasks, int).values().coalesce(tasks)
 
 
 def fit_packs(

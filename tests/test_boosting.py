@@ -92,3 +92,18 @@ def test_missing_features_are_refused_where_they_would_be_learned_from(labelled)
     assert learn.boosted_scores(held, gap).where("xgboost IS NULL").count() == 0
     with pytest.raises(Exception, match="missing or infinite"):
         learn.fit_boosted(gap, NAMES, rounds=1, depth=2)
+
+
+@pytest.mark.parametrize("most", [2, 32])
+def test_sums_of_many_tasks_are_added_up_in_tasks_and_empty_ones_send_nothing(spark, most, monkeypatch):
+    monkeypatch.setattr(boosting, "PARTS", most)
+    rdd = spark.sparkContext.parallelize(range(5), 9)
+    one, two = boosting._summed(rdd, lambda part: [np.full(3, sum(x := list(part))), np.array([len(x), 1])])
+    assert one.tolist() == [10, 10, 10] and two.tolist() == [5, 5]
+
+
+def test_packs_are_dealt_out_evenly(spark):
+    sizes = [5, 900, 10, 300, 310, 290, 7]
+    packs = spark.sparkContext.parallelize(sizes, 4).map(lambda n: boosting.Pack([], np.zeros(n), *[np.zeros(0)] * 3))
+    loads = boosting._dealt(packs, 2).map(lambda pack: len(pack.label)).glom().map(sum).collect()
+    assert len(loads) == 2 and sum(loads) == sum(sizes) and max(loads) - min(loads) < 30
